@@ -1,0 +1,4 @@
+"""No streaming operators: survey loads are daily batches that replace one source at a time.
+
+The replacement step lives in :func:`tallgrass.sources.writers.reload_source`.
+"""
