@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -81,17 +81,12 @@ def skip_mechanisms(lines: DataFrame) -> DataFrame:
                _mechanism(name, action, option, target, expression))
         for name, action, option, target, expression in one_per_line
     ]
+    def each(pattern: str, build: Callable[[Column], Column]) -> Column:
+        return F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(1)), build)
+
     many = [
-        F.transform(
-            F.regexp_extract_all(line, F.lit(pattern), F.lit(1)),
-            lambda found, n=name, a=action, t=is_target: _mechanism(
-                n, a, none, found if t else none, none if t else found
-            ),
-        )
-        for name, action, pattern, is_target in (
-            ("xor_group", "exclude", XOR_GROUP, True),
-            ("inline_text", "wording", INLINE_TEXT, False),
-        )
+        each(XOR_GROUP, lambda group: _mechanism("xor_group", "exclude", none, group, none)),
+        each(INLINE_TEXT, lambda text: _mechanism("inline_text", "wording", none, none, text)),
     ]
     heads = lines.withColumn("question", _found(line, QUESTION_HEAD))
     placed = forward_fill(heads, "line_id", ["question"])

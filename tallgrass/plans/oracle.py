@@ -244,8 +244,8 @@ SELECT 'clean' AS layer, tbl, col, ids, CAST(len(ids) AS BIGINT) AS n_concepts,
   TRY_CAST(regexp_extract(bare, '_([0-9]{1,2})$', 1) AS BIGINT) AS loop_number,
   CASE WHEN regexp_matches(col, '_[vV][0-9]+(_|$)') THEN '_v' || regexp_extract(col, '_[vV]([0-9]+)(_|$)', 1)
     ELSE '' END AS version_tag,
-  array_to_string(list_filter(string_split(col, '_'), t -> t <> '' AND upper(t) <> 'D'
-    AND NOT regexp_full_match(t, '[0-9]{1,2}|[0-9]{9}') AND NOT regexp_full_match(t, '[vV][0-9]+')), ';')
+  array_to_string([t FOR t IN string_split(col, '_') IF t <> '' AND upper(t) <> 'D'
+    AND NOT regexp_full_match(t, '[0-9]{1,2}|[0-9]{9}') AND NOT regexp_full_match(t, '[vV][0-9]+')], ';')
     AS nonconforming_tokens
 FROM (SELECT tbl, col, regexp_extract_all(col, '[dD]_([0-9]{9})', 1) AS ids,
     regexp_replace(col, '_[vV][0-9]+(_|$)', '\1', 'g') AS bare
@@ -537,7 +537,7 @@ SELECT p_partkey AS prompt_id, CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN
     "fidelity": r"""
 SELECT prompt_id, w IN (SELECT trim(regexp_replace(regexp_replace(lower(p_name), '<[^>]*>', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'))
     FROM part) AS is_verbatim,
-  prompt LIKE '%<b>%' AS has_html, prompt LIKE '%|__|%' OR prompt LIKE '%min=%' AS has_numeric_box,
+  prompt LIKE '%<b>%' AS has_html, contains(prompt, '|__|') OR contains(prompt, 'min=') AS has_numeric_box,
   prompt LIKE '%displayif=%' AS has_displayif, prompt LIKE '%{$%' AS has_piping
 FROM (SELECT *, trim(regexp_replace(regexp_replace(lower(prompt), '<[^>]*>', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')) AS w FROM prompts)""",
 }
