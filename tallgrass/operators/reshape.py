@@ -67,24 +67,26 @@ def melt(
     )
 
 
-def mapped_columns(wide: DataFrame, placements: Sequence[Row]) -> tuple[list[str], int]:
+def mapped_columns(wide: DataFrame, placed: Sequence[Row]) -> tuple[list[str], int]:
     """Mapped columns present in the wide table, sorted, and how many mapped columns are absent.
 
     Names are compared exactly: Spark resolves columns without regard to case, the mapping does not.
     """
-    mapped = {p.source_column for p in placements}
+    mapped = {p.source_column for p in placed}
     present = sorted(mapped & set(wide.columns))
     return present, len(mapped) - len(present)
 
 
-def placements_for(colmap: DataFrame, table: str, wide: DataFrame) -> list[Row]:
-    """The mapping rows of one table that name a column of the wide table.
+def placements(colmap: DataFrame, tables: Mapping[str, DataFrame]) -> dict[str, list[Row]]:
+    """The mapping rows of each wide table that name one of its columns.
 
-    This is plan-time metadata: the result is bounded by the width of the wide table.
+    This is plan-time metadata: the result is bounded by the widths of the wide tables.
     """
+    names = sorted({c for wide in tables.values() for c in wide.columns})
     rows = (
-        colmap.where((F.col("table_name") == table) & F.col("source_column").isin(wide.columns))
+        colmap.where(F.col("table_name").isin(*tables) & F.col("source_column").isin(*names))
         .select(
+            "table_name",
             "source_column",
             "secondary_source_concept_id",
             "source_question_concept_id",
@@ -94,7 +96,11 @@ def placements_for(colmap: DataFrame, table: str, wide: DataFrame) -> list[Row]:
         )
         .collect()
     )
-    return sorted(rows, key=lambda r: r.source_column)
+    found: dict[str, list[Row]] = {name: [] for name in tables}
+    for row in sorted(rows, key=lambda r: r.source_column):
+        if row.source_column in tables[row.table_name].columns:
+            found[row.table_name].append(row)
+    return found
 
 
 def place_cells(cells: DataFrame, colmap: DataFrame, table: str) -> DataFrame:
@@ -131,7 +137,7 @@ def _as_fact(placed: DataFrame, source_table: str) -> DataFrame:
 
 def load_survey(
     wide: DataFrame,
-    placements: Sequence[Row],
+    placed: Sequence[Row],
     table: str,
     layer: str = "clean",
     id_column: str = "connect_id",
@@ -145,17 +151,11 @@ def load_survey(
     columns that hold those questions are read at all. A column mapped twice gives two rows per
     cell, as a join would.
     """
-    chosen = [
-        p
-        for p in placements
-        if p.source_column in wide.columns
-        and (questions is None or p.question_concept_id in questions)
-    ]
-    source_table = f"{layer}.{table}"
+    chosen = _chosen(wide, placed, questions)
     if not chosen:
         return wide.sparkSession.createDataFrame([], FACT)
     cells = _cells(wide, id_column, [p.source_column for p in chosen], strategy)
-    placed = cells.select(
+    described = cells.select(
         "connect_id",
         *[
             _pick([getattr(p, name) for p in chosen], kind).alias(name)
@@ -170,7 +170,18 @@ def load_survey(
         ],
         "value",
     )
-    return _as_fact(placed, source_table)
+    return _as_fact(described, f"{layer}.{table}")
+
+
+def _chosen(
+    wide: DataFrame, placed: Sequence[Row], questions: Sequence[str] | None
+) -> list[Row]:
+    return [
+        p
+        for p in placed
+        if p.source_column in wide.columns
+        and (questions is None or p.question_concept_id in questions)
+    ]
 
 
 def load_surveys(
@@ -179,11 +190,18 @@ def load_surveys(
     layer: str = "clean",
     questions: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Several wide surveys in one answer table. Versions of a column pool on the same question."""
+    """Several wide surveys in one answer table. Versions of a column pool on the same question.
+
+    A survey without any of the wanted questions is not read.
+    """
+    placed = placements(colmap, tables)
     loads = [
-        load_survey(wide, placements_for(colmap, name, wide), name, layer, questions=questions)
+        load_survey(wide, placed[name], name, layer, questions=questions)
         for name, wide in tables.items()
+        if _chosen(wide, placed[name], questions)
     ]
+    if not loads:
+        return colmap.sparkSession.createDataFrame([], FACT)
     return reduce(DataFrame.unionByName, loads)
 
 

@@ -6,8 +6,11 @@ gets, so that all edge cases appear at every scale.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallgrass.functions.text import response_unique_id
 from tallgrass.operators.dictionary import Star, build_star, filled_rows
@@ -30,9 +33,16 @@ LOOP_PARENT, LOOP_QUESTION = "120000000", "120000001"
 ENGLISH, SPANISH = "163149180", "773342525"
 
 
+@lru_cache(maxsize=256)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """A file's schema, looked up once per session instead of once per read."""
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def rows(spark: SparkSession, schema: str, data: list[tuple]) -> DataFrame:
