@@ -45,13 +45,12 @@ def strict_number(value: Column) -> Column:
 
 
 def number_value(value: Column) -> Column:
-    """The number, unless the text has the concept or the date shape.
+    """The number, unless the text has the concept shape.
 
-    A date-shaped text that names no real day is therefore NULL in every typed column.
+    No date-shaped text is a plain number, so a date that names no real day is NULL in every typed
+    column.
     """
-    return F.when(
-        ~value.rlike(CONCEPT_SHAPE) & ~value.rlike(DATE_SHAPE), strict_number(value)
-    )
+    return F.when(~value.rlike(CONCEPT_SHAPE), strict_number(value))
 
 
 def response_unique_id(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.operators.dictionary import Star
+from tallgrass.operators.joins import measured
 from tallgrass.schema import YES
 
 
@@ -125,7 +126,7 @@ def harmonised(fact: DataFrame, star: Star, edges: DataFrame, canonical: str) ->
         star.question.select("question_concept_id", F.col("question_text").alias("field")),
         "question_concept_id",
     )
-    return fact.join(fields, "question_concept_id").select(
+    return fact.join(measured(fields), "question_concept_id").select(
         "field", "response_value_as_string", "connect_id", "loop_instance"
     )
 
@@ -164,10 +165,13 @@ def decode_column(wide: DataFrame, column: str, labels: dict[str, str]) -> DataF
 
 def hierarchy(fact: DataFrame, star: Star) -> DataFrame:
     """Domain, survey, source question, question and answer of each row of ``fact``."""
-    surveys = star.secondary_source.join(star.primary_source, "primary_source_concept_id").select(
+    surveys = star.secondary_source.select(
         "secondary_source_concept_id",
-        F.col("primary_source").alias("domain"),
         F.col("secondary_source").alias("survey"),
+        "primary_source_concept_id",
+    )
+    domains = star.primary_source.select(
+        "primary_source_concept_id", F.col("primary_source").alias("domain")
     )
     parents = star.source_question.select(
         "source_question_concept_id", F.col("source_question_text").alias("source_question")
@@ -175,6 +179,7 @@ def hierarchy(fact: DataFrame, star: Star) -> DataFrame:
     questions = star.question.select("question_concept_id", F.col("question_text").alias("question"))
     return (
         fact.join(surveys, "secondary_source_concept_id")
+        .join(domains, "primary_source_concept_id")
         .join(questions, "question_concept_id")
         .join(parents, "source_question_concept_id", "left")
         .join(_labels(star, "label"), "response_value_as_concept_id", "left")
@@ -258,9 +263,8 @@ def address_rows(fact: DataFrame, fields: DataFrame, components: Sequence[str])
     ``fields`` maps questions to their piece and class. Described in prose only: where several
     questions fill the same piece, the largest text is kept.
     """
-    placed = fact.join(
-        fields.select("question_concept_id", "component", "address_class"), "question_concept_id"
-    )
+    places = fields.select("question_concept_id", "component", "address_class")
+    placed = fact.join(measured(places), "question_concept_id")
     return placed.groupBy("connect_id", "address_class", "loop_instance").agg(
         *[
             F.max(F.when(F.col("component") == c, F.col("response_value_as_string"))).alias(c)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallgrass.operators.joins import measured
+
 # Tiers from least to most restricted.
 TIERS = (
     "non_sensitive",
@@ -147,8 +149,8 @@ def top_code_age(fact: DataFrame, age_questions: list[str], limit: int = 89) ->
 
 def drop_identifiers(fact: DataFrame, scanned: DataFrame) -> DataFrame:
     """Leave out every answer to a question that the scan found to be an identifier."""
-    found = scanned.where("is_identifier").select("question_concept_id")
-    return fact.join(found, "question_concept_id", "left_anti").select(*fact.columns)
+    found = scanned.where("is_identifier").select("question_concept_id").distinct()
+    return fact.join(measured(found), "question_concept_id", "left_anti").select(*fact.columns)
 
 
 def suppressed_counts(fact: DataFrame, least: int) -> DataFrame:

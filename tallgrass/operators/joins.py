@@ -1,0 +1,33 @@
+"""Joins of the long answer table with small derived tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def _limit(df: DataFrame) -> int:
+    """The session's broadcast limit in bytes; 0 when broadcasting is switched off."""
+    setting = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").lower()
+    units = {"kb": 1 << 10, "mb": 1 << 20, "gb": 1 << 30, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "b": 1}
+    for unit, factor in units.items():
+        if setting.endswith(unit):
+            return max(0, int(setting[: -len(unit)]) * factor)
+    return max(0, int(setting))
+
+
+def measured(side: DataFrame) -> DataFrame:
+    """Hint a broadcast of a derived table after measuring it; leave it alone when it is too big.
+
+    Spark estimates a join of two tables by the product of their sizes, so a small derived table can
+    look too big, and the answer table would be shuffled to meet it. Here one small job adds up the
+    bytes while the plan is built, against the session's own limit. Past the limit the join is a
+    sort-merge join, whose hot partitions adaptive execution splits.
+    """
+    limit = _limit(side)
+    if limit == 0:
+        return side
+    size = side.agg(
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("size")
+    ).first()["size"]
+    return F.broadcast(side) if size <= limit else side

@@ -23,18 +23,17 @@ def _as_rows(counted: DataFrame, name: str, value: str) -> DataFrame:
 def fact_volume(fact: DataFrame) -> DataFrame:
     """Rows, participants, columns and surveys.
 
-    Each distinct count is its own aggregate: one aggregate with several would multiply every row.
+    Several distinct counts in one aggregate would multiply every row. Columns and surveys are few,
+    so they are counted from the rows per column and survey; participants get their own aggregate.
     """
-    ids = {
-        "distinct_participants": "connect_id",
-        "distinct_source_columns": "source_column",
-        "distinct_surveys": "secondary_source_concept_id",
-    }
-    parts = [fact.agg(_rows().alias("value")).select(F.lit("total_rows").alias("metric"), "value")]
-    for metric, column in ids.items():
-        one = fact.agg(F.countDistinct(column).alias("value"))
-        parts.append(one.select(F.lit(metric).alias("metric"), "value"))
-    return reduce(DataFrame.unionByName, parts)
+    per_column = fact.groupBy("source_column", "secondary_source_concept_id").agg(_rows().alias("n"))
+    small = per_column.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
+        F.countDistinct("source_column").alias("distinct_source_columns"),
+        F.countDistinct("secondary_source_concept_id").alias("distinct_surveys"),
+    )
+    people = fact.agg(F.countDistinct("connect_id").alias("distinct_participants"))
+    return _as_rows(small, "metric", "value").unionByName(_as_rows(people, "metric", "value"))
 
 
 def fact_by_table(fact: DataFrame) -> DataFrame:
@@ -214,7 +213,12 @@ def rule_violations(
         .join(allowed, ["question_concept_id", "response_value_as_string"], "left_anti")
         .select(*out)
     )
-    given = fact.select("connect_id", "question_concept_id").distinct()
+    expected = rules.where(kind.isin("required", "required_if")).select("question_concept_id").distinct()
+    given = (
+        fact.join(expected, "question_concept_id", "left_semi")
+        .select("connect_id", "question_concept_id")
+        .distinct()
+    )
     must = rules.where(kind == "required").withColumnRenamed(
         "argument", "secondary_source_concept_id"
     )

@@ -165,7 +165,8 @@ def missingness(
     Described in prose only; the first rule that holds decides: ``not_taken`` (no submitted session),
     ``not_offered`` (submitted before the question was added), ``not_shown`` (in ``hidden``, the
     ``connect_id, question_concept_id`` pairs skip rules closed), ``answered``, ``not_answered``.
-    ``sessions`` has one row per participant and survey, also for those who never started.
+    ``sessions`` has one row per participant and survey, also for those who never started. Answers
+    and closed questions are reduced to one row per participant and question, so one join finds both.
     """
     key = ["connect_id", "secondary_source_concept_id", "question_concept_id"]
     answered = (
@@ -174,12 +175,14 @@ def missingness(
             ["secondary_source_concept_id", "question_concept_id"],
             "left_semi",
         )
-        .select(*key)
-        .distinct()
-        .withColumn("has_answer", F.lit(True))
+        .select(*key, F.lit(True).alias("has_answer"), F.lit(False).alias("is_hidden"))
+    )
+    asked = questions.select("secondary_source_concept_id", "question_concept_id")
+    closed = hidden.join(asked, "question_concept_id").select(
+        *key, F.lit(False).alias("has_answer"), F.lit(True).alias("is_hidden")
     )
-    closed = hidden.select("connect_id", "question_concept_id").distinct().withColumn(
-        "is_hidden", F.lit(True)
+    known = answered.unionByName(closed).groupBy(*key).agg(
+        F.bool_or("has_answer").alias("has_answer"), F.bool_or("is_hidden").alias("is_hidden")
     )
     early = F.col("added_at").isNotNull() & (F.to_date("completed_at") < F.col("added_at"))
     reason = (
@@ -191,7 +194,6 @@ def missingness(
     )
     return (
         sessions.join(questions, "secondary_source_concept_id")
-        .join(answered, key, "left")
-        .join(closed, ["connect_id", "question_concept_id"], "left")
+        .join(known, key, "left")
         .select(*key, reason.alias("missingness"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallgrass.operators.dictionary import Star
+from tallgrass.operators.joins import measured
 
 # Fixed value: how a variable name states its version and revision.
 AXES = r"_v([0-9]+)r([0-9]+)$"
@@ -111,7 +112,7 @@ def responses_current(fact: DataFrame, question: DataFrame) -> DataFrame:
         .select("question_concept_id", "successor_concept_id")
         .join(existing, "successor_concept_id", "left_semi")
     )
-    return fact.join(routes, "question_concept_id", "left").select(
+    return fact.join(measured(routes), "question_concept_id", "left").select(
         *fact.columns,
         F.coalesce("successor_concept_id", "question_concept_id").alias("current_question_cid"),
     )

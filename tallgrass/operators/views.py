@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.functions import text
 from tallgrass.operators.dictionary import Star
+from tallgrass.operators.joins import measured
 
 ENRICHED = (
     "connect_id",
@@ -64,12 +65,12 @@ def responses_enriched(
             F.col("secondary_source").alias("survey"),
             "primary_source_concept_id",
         )
+        out = out.join(surveys, "secondary_source_concept_id", "left")
         if "domain" in wanted:
             domains = star.primary_source.select(
                 "primary_source_concept_id", F.col("primary_source").alias("domain")
             )
-            surveys = surveys.join(domains, "primary_source_concept_id", "left")
-        out = out.join(surveys, "secondary_source_concept_id", "left")
+            out = out.join(domains, "primary_source_concept_id", "left")
     if wanted & {"question_text", "question_type"}:
         questions = star.question.select("question_concept_id", "question_text", "question_type")
         out = out.join(questions, "question_concept_id", "left")
@@ -85,7 +86,7 @@ def responses_enriched(
         )
         out = out.join(labels, "response_value_as_concept_id", "left")
     if "response_option_set" in wanted:
-        out = out.join(option_set(star), "question_concept_id", "left")
+        out = out.join(measured(option_set(star)), "question_concept_id", "left")
     if wanted & set(VARIABLE_COLUMNS):
         key = ["question_concept_id", "secondary_source_concept_id", "response_value_as_concept_id"]
         variables = (
@@ -95,7 +96,7 @@ def responses_enriched(
             .groupBy(*key)
             .agg(*[F.min(c).alias(c) for c in VARIABLE_COLUMNS])
         )
-        out = out.join(variables, key, "left")
+        out = out.join(measured(variables), key, "left")
     return out.select(*columns)
 
 
