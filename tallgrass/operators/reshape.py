@@ -17,28 +17,29 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _as_text(wide: DataFrame, column: str) -> Column:
-    """The cell as text; text columns are passed through untouched."""
-    if isinstance(wide.schema[column].dataType, T.StringType):
-        return F.col(_quoted(column))
-    return F.col(_quoted(column)).cast("string").alias(column)
+def _cells(wide: DataFrame, id_column: str, columns: Sequence[str], strategy: str) -> DataFrame:
+    """``(id, position, value)`` for every non-null cell; row-local, nothing is shuffled.
+
+    Built as one SQL expression: a column object per cell would make wide plans slow to build.
+    """
+    kinds = {f.name: f.dataType for f in wide.schema}
 
+    def cell(column: str) -> str:
+        name = _quoted(column)
+        return name if isinstance(kinds[column], T.StringType) else f"CAST({name} AS STRING)"
 
-def _cells(wide: DataFrame, id_column: str, columns: Sequence[str], strategy: str) -> DataFrame:
-    """``(id, position, value)`` for every non-null cell; row-local, nothing is shuffled."""
-    typed = wide.select(F.col(id_column), *[_as_text(wide, c) for c in dict.fromkeys(columns)])
     if strategy == "stack":
-        pairs = ", ".join(f"{i}, {_quoted(c)}" for i, c in enumerate(columns))
-        return typed.selectExpr(
-            f"{id_column} AS connect_id", f"stack({len(columns)}, {pairs}) AS (position, value)"
+        pairs = ", ".join(f"{i}, {cell(c)}" for i, c in enumerate(columns))
+        return wide.selectExpr(
+            f"{_quoted(id_column)} AS connect_id",
+            f"stack({len(columns)}, {pairs}) AS (position, value)",
         ).where("value IS NOT NULL")
     if strategy == "array":
-        cells = "array(" + ", ".join(_quoted(c) for c in columns) + ")"
         answered = (
-            f"filter(transform({cells}, (v, i) -> named_struct('position', i, 'value', v)),"
-            " c -> c.value IS NOT NULL)"
+            f"filter(transform(array({', '.join(cell(c) for c in columns)}),"
+            " (v, i) -> named_struct('position', i, 'value', v)), c -> c.value IS NOT NULL)"
         )
-        return typed.selectExpr(f"{id_column} AS connect_id", f"inline({answered})")
+        return wide.selectExpr(f"{_quoted(id_column)} AS connect_id", f"inline({answered})")
     raise ValueError(f"unknown strategy {strategy!r}")
 
 

@@ -60,12 +60,14 @@ def test_other_types_become_text(spark):
     assert {tuple(r) for r in reshape.melt(wide, ["a", "b"]).collect()} == {("1", "a", "5"), ("1", "b", "true")}
 
 
-def test_very_wide_table(spark):
+def test_very_wide_table(spark, tmp_path):
+    path = str(tmp_path / "wide")
     names = [f"d_{100000000 + i}" for i in range(2400)]
-    wide = spark.range(20).select(
-        F.col("id").cast("string").alias("connect_id"),
-        *[F.when(F.col("id") % 7 == i % 7, F.lit("1")).alias(c) for i, c in enumerate(names)],
-    )
+    spark.range(20).selectExpr(
+        "CAST(id AS STRING) AS connect_id",
+        *[f"CASE WHEN id % 7 = {i % 7} THEN '1' END AS {c}" for i, c in enumerate(names)],
+    ).write.parquet(path)
+    wide = readers.read_survey(spark, path)
     fact = reshape.load_survey(wide, [placed(c, c[2:]) for c in names], "wide")
     seen = fact.agg(F.count(F.lit(1)), F.countDistinct("question_concept_id")).first()
     assert seen[0] == sum(1 for i in range(2400) for p in range(20) if p % 7 == i % 7)
