@@ -26,7 +26,7 @@ IDENTIFIERS = {
     "address": r"\b(address|street|apartment|zip|postal|city|county|town)\b",
     "dates": r"date of birth|birth ?date|date/time|\bdob\b",
     "names": r"\b(first|last|middle|maiden|full) name\b",
-    "email": r"\be-?mail\b|[a-z0-9._%+-]+@[a-z0-9-]+[.][a-z]{2,}",
+    "email": r"\be-?mail\b|[a-z0-9._%+-]@[a-z0-9-]+[.][a-z]{2,}",
     "phone": r"\b(tele)?phone\b|\bmobile number\b",
     "ssn": r"social security|\bssn\b",
     "biometric": r"fingerprint|biometric|genetic",

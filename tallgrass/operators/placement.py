@@ -87,8 +87,11 @@ def concept_roles(rows: DataFrame) -> DataFrame:
     )
 
 
-def _filled(rows: DataFrame) -> DataFrame:
-    """Dictionary rows with ``*_f`` columns carried down from the last row that had a value."""
+def carried_rows(rows: DataFrame) -> DataFrame:
+    """Dictionary rows with ``*_f`` columns carried down from the last row that had a value.
+
+    Several of the functions below read the result; store it when the dictionary is large.
+    """
     clean = rows.select(
         "rn",
         *[
@@ -99,11 +102,10 @@ def _filled(rows: DataFrame) -> DataFrame:
     return forward_fill(clean, "rn", ["prim_cid", "sec_cid", "q_cid"])
 
 
-def survey_domain(rows: DataFrame) -> DataFrame:
+def survey_domain(carried: DataFrame) -> DataFrame:
     """Survey to domain; the first row that names the survey decides."""
     return (
-        _filled(rows)
-        .where(F.col("sec_cid").isNotNull())
+        carried.where(F.col("sec_cid").isNotNull())
         .groupBy(F.col("sec_cid").alias("secondary_source_concept_id"))
         .agg(
             F.coalesce(F.min_by(F.coalesce("prim_cid_f", F.lit("")), "rn"), F.lit("")).alias(
@@ -122,7 +124,7 @@ def survey_names(rows: DataFrame) -> DataFrame:
     )
 
 
-def question_surveys(rows: DataFrame, carry_survey: bool = True) -> DataFrame:
+def question_surveys(carried: DataFrame, carry_survey: bool = True) -> DataFrame:
     """Distinct (question, survey) pairs, the question carried down to its response rows.
 
     With ``carry_survey`` the survey is carried down too (used for the match flag). Without it only
@@ -130,8 +132,7 @@ def question_surveys(rows: DataFrame, carry_survey: bool = True) -> DataFrame:
     """
     survey = "sec_cid_f" if carry_survey else "sec_cid"
     return (
-        _filled(rows)
-        .where(F.col("q_cid_f").isNotNull() & F.col(survey).isNotNull())
+        carried.where(F.col("q_cid_f").isNotNull() & F.col(survey).isNotNull())
         .select(
             F.col("q_cid_f").alias("question_concept_id"),
             F.col(survey).alias("secondary_source_concept_id"),

@@ -16,6 +16,7 @@ from tallgrass.functions.text import response_unique_id
 from tallgrass.operators.dictionary import Star, build_star, filled_rows
 from tallgrass.operators.reshape import load_surveys, type_values
 from tallgrass.operators.sessions import Triad, with_session_facts
+from tallgrass.plans.session import scratch_path
 from tallgrass.schema import (
     NO,
     STATUS_NOT_STARTED,
@@ -23,6 +24,7 @@ from tallgrass.schema import (
     STATUS_SUBMITTED,
     YES,
 )
+from tallgrass.sources.writers import store
 
 SURVEY_A, SURVEY_B, SURVEY_C = "300000001", "300000002", "300000003"
 SEGMENT, BALANCE, NOTE, EDGE = "100000001", "100000002", "100000003", "100000004"
@@ -498,6 +500,12 @@ def sheet_star(spark: SparkSession, sf_dir: str) -> Star:
     return build_star(filled_rows(sheet_rows(spark, sf_dir)))
 
 
+def stored_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The same with the filled rows written first, for queries that read several of the tables."""
+    filled = filled_rows(sheet_rows(spark, sf_dir))
+    return build_star(store(filled, scratch_path(spark, "filled")))
+
+
 def variables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Variable rows of the sheet: ``question_concept_id, variable_label, status, pii, question_text``."""
     return (

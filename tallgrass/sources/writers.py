@@ -61,6 +61,16 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write a table and read it back.
+
+    Cuts the lineage of a result that several plans read, survives the loss of executors, and gives
+    the planner real sizes. ``path`` must be in a folder all executors share.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def export_csv(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """A CSV ordered by its key.
 

@@ -78,8 +78,8 @@ def test_the_two_survey_sets_differ(spark, as_set):
             (3, "", "910000002", "Second", "", "", "930000002"),
         ],
     )
-    carried = as_set(placement.question_surveys(rows))
-    stated = as_set(placement.question_surveys(rows, carry_survey=False))
+    carried = as_set(placement.question_surveys(placement.carried_rows(rows)))
+    stated = as_set(placement.question_surveys(placement.carried_rows(rows), carry_survey=False))
     assert carried == {
         ("920000001", "910000001"), ("920000002", "910000001"), ("920000002", "910000002"),
     }
@@ -96,9 +96,9 @@ def test_source_question_leaf_moves_to_the_parent(spark):
     placed = placement.place_columns(
         placement.parse_columns(columns, layer="clean"),
         placement.concept_roles(rows),
-        placement.question_surveys(rows),
+        placement.question_surveys(placement.carried_rows(rows)),
         crosswalk,
-        placement.survey_domain(rows),
+        placement.survey_domain(placement.carried_rows(rows)),
     )
     by_column = {r["column"]: r for r in placed.collect()}
     grid = by_column["d_940000001_2"]
