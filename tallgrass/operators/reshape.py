@@ -144,17 +144,25 @@ def load_survey(
     id_column: str = "connect_id",
     questions: Sequence[str] | None = None,
     strategy: str = "stack",
+    batch: int | None = None,
 ) -> DataFrame:
     """One wide survey as rows of the answer table.
 
     The placement of each column is known when the plan is built, so it enters as constant lists
     looked up by cell position: the load has no join and no shuffle. With ``questions`` only the
     columns that hold those questions are read at all. A column mapped twice gives two rows per
-    cell, as a join would.
+    cell, as a join would. ``batch`` splits the columns into several melts of that many columns,
+    should one plan be too wide; each melt then scans only its own columns.
     """
     chosen = _chosen(wide, placed, questions)
     if not chosen:
         return wide.sparkSession.createDataFrame([], FACT)
+    if batch and batch < len(chosen):
+        parts = [
+            load_survey(wide, chosen[i : i + batch], table, layer, id_column, strategy=strategy)
+            for i in range(0, len(chosen), batch)
+        ]
+        return reduce(DataFrame.unionByName, parts)
     cells = _cells(wide, id_column, [p.source_column for p in chosen], strategy)
     described = cells.select(
         "connect_id",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallgrass.operators.dictionary import Star
+from tallgrass.operators.dictionary import Star, forward_fill
 from tallgrass.operators.joins import measured
 
 # Fixed value: how a variable name states its version and revision.
@@ -38,6 +38,32 @@ def version_census(variables: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+def question_lifecycle(rows: DataFrame) -> DataFrame:
+    """Status of each question and the day it was added or deprecated.
+
+    ``rows`` is ``rn, q_cid, status, status_date`` with blanks as NULL; the question is carried down
+    to its rows and its first stated status and date count.
+    """
+    carried = forward_fill(rows, "rn", ["q_cid"]).where("q_cid_f IS NOT NULL")
+
+    def first(name: str) -> Column:
+        return F.min_by(name, F.when(F.col(name).isNotNull(), F.col("rn"))).alias(name)
+
+    stated = carried.groupBy(F.col("q_cid_f").alias("question_concept_id")).agg(
+        first("status"), first("status_date")
+    )
+
+    def on(status: str) -> Column:
+        return F.when(F.col("status") == status, F.col("status_date"))
+
+    return stated.select(
+        "question_concept_id",
+        "status",
+        on("New").alias("added_at"),
+        on("Deprecated").alias("deprecated_at"),
+    )
+
+
 def v_question(question: DataFrame) -> DataFrame:
     """Questions with ``is_versioned`` derived from their status and highest version."""
     changed = F.coalesce(F.col("status").isin("Deprecated", "Revised"), F.lit(False))

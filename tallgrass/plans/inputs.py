@@ -500,6 +500,25 @@ def sheet_star(spark: SparkSession, sf_dir: str) -> Star:
     return build_star(filled_rows(sheet_rows(spark, sf_dir)))
 
 
+def lifecycle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status and its date on the rows of the sheet; a question's second row may state them too."""
+    rest = F.col("k") % 5
+    status = F.coalesce(*[F.when(rest == n, F.lit(s)) for n, s in STATUSES.items()])
+    stated = F.col("j") % 3 < 2
+    start = F.lit("2022-06-01").cast("date")
+    return _parts(spark, sf_dir).select(
+        "rn",
+        F.when(
+            F.col("j") % 3 == 0,
+            (F.when(F.col("k") % 5 == 0, F.col("j")).otherwise(F.col("k")) + 500000000).cast("string"),
+        ).alias("q_cid"),
+        F.when(stated, status).alias("status"),
+        F.when(stated & (rest < 3), F.date_add(start, (F.col("k") % 1400).cast("int"))).alias(
+            "status_date"
+        ),
+    )
+
+
 def stored_star(spark: SparkSession, sf_dir: str) -> Star:
     """The same with the filled rows written first, for queries that read several of the tables."""
     filled = filled_rows(sheet_rows(spark, sf_dir))

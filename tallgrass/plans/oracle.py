@@ -367,6 +367,13 @@ SELECT CAST(p_partkey + 500000000 AS VARCHAR) AS question_concept_id,
   CAST(p_partkey % 40 + 600000000 AS VARCHAR) AS current_source_question,
   CASE WHEN p_partkey % 2 = 0 THEN CAST(p_partkey % 40 + 600000000 AS VARCHAR) END AS v1_source_question
 FROM part""",
+    "lifecycle": f"""
+SELECT q_cid AS question_concept_id, arg_min(status, rn) AS status, arg_min(status_date, rn) AS status_date
+FROM (SELECT rn, last_value(q_cid IGNORE NULLS) OVER (ORDER BY rn) AS q_cid, status, status_date
+  FROM (SELECT rn, CASE WHEN j % 3 = 0 THEN CAST((CASE WHEN k % 5 = 0 THEN j ELSE k END) + 500000000 AS VARCHAR) END AS q_cid,
+    CASE WHEN j % 3 < 2 THEN {pick('k', 5, inputs.STATUSES)} END AS status,
+    CASE WHEN j % 3 < 2 AND k % 5 < 3 THEN DATE '2022-06-01' + CAST(k % 1400 AS INTEGER) END AS status_date FROM parts))
+GROUP BY q_cid""",
     "part_answers": """
 SELECT CAST(l_orderkey AS VARCHAR) AS connect_id, CAST(l_partkey + 500000000 AS VARCHAR) AS question_concept_id,
   CASE WHEN l_linenumber > 3 THEN '_v2' END AS question_version,

@@ -100,6 +100,14 @@ def test_load_has_no_shuffle_and_reads_only_wanted_columns(spark, plan_of):
     assert "ReadSchema: struct<c_mktsegment:string>" in one
 
 
+def test_batches_give_the_same_rows(spark):
+    wide = inputs.module_c(spark, SF_DIR)
+    mapping = reshape.placements(inputs.colmap(spark), {"module_c": wide})["module_c"]
+    whole = reshape.load_survey(wide, mapping, "module_c")
+    parts = reshape.load_survey(wide, mapping, "module_c", batch=3)
+    assert whole.exceptAll(parts).count() == 0 and whole.count() == parts.count()
+
+
 def test_mapped_columns_absent_from_the_table_are_counted(spark):
     wide = spark.createDataFrame([("1", "x")], "connect_id string, a string")
     assert reshape.mapped_columns(wide, [placed("a", "1"), placed("gone", "2")]) == (["a"], 1)
