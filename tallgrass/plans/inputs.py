@@ -88,7 +88,7 @@ def module_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = Window.partitionBy("o_custkey").orderBy("o_orderkey")
     loops = (
         table(spark, sf_dir, "orders")
-        .select("o_custkey", _whole("o_totalprice").alias("v"), F.row_number().over(first).alias("rn"))
+        .select("o_custkey", F.floor("o_totalprice").cast("bigint").alias("v"), F.row_number().over(first).alias("rn"))
         .where("rn <= 3")
         .groupBy("o_custkey")
         .agg(*[F.max(F.when(F.col("rn") == n, F.col("v"))).alias(f"loop_{n}") for n in (1, 2, 3)])
@@ -124,7 +124,7 @@ def module_a(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(key % 3 == 0, YES).alias(option + "110000002"),
             F.when(key % 5 == 0, YES).alias(option + "110000003_v2"),
             *[
-                F.col(f"loop_{n}").alias(f"d_{LOOP_PARENT}_d_{LOOP_QUESTION}_{n}") for n in (1, 2, 3)
+                F.col(f"loop_{n}").cast("string").alias(f"d_{LOOP_PARENT}_d_{LOOP_QUESTION}_{n}") for n in (1, 2, 3)
             ],
             F.lit(ENGLISH).alias(f"d_{LANGUAGE}"),
         )
@@ -398,7 +398,7 @@ TYPE_TEXTS = {
     23: "Required Multiple Choice",
     24: "Optional Multiple Choice, Figures (with radio button to select one)",
     25: "Special Function",
-    26: "Self Populates Outside of Quest",
+    26: "Self Populates Outside of the Form",
     27: "Multiple Choice with displayif and/or Piped Text",
     28: "Mulitple Choice",
     29: "Text box",
@@ -668,20 +668,25 @@ def participant_triads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return firsts.select(*columns)
 
 
-def customer_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One session of module A per customer: from the first order to the last, submitted if one was filled."""
-    spans = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
-        F.min("o_orderdate").cast("timestamp").alias("started_at"),
-        F.max("o_orderdate").cast("timestamp").alias("ended_at"),
-        F.count_if(F.col("o_orderstatus") == "F").alias("filled"),
-    )
-    done = F.col("filled") >= 3
-    return with_session_facts(
-        table(spark, sf_dir, "customer")
-        .join(spans, F.col("c_custkey") == F.col("o_custkey"), "left")
-        .select(
-            F.col("c_custkey").cast("string").alias("connect_id"),
-            F.lit(SURVEY_A).alias("secondary_source_concept_id"),
+def survey_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One session of module A per customer and one of module B per supplier.
+
+    A session runs from the first order (shipment) to the last; enough filled orders (returned
+    shipments) make it submitted.
+    """
+
+    def spans(rows: DataFrame, key: str, day: str, filled: Column) -> DataFrame:
+        return rows.groupBy(F.col(key).alias("k")).agg(
+            F.min(day).cast("timestamp").alias("started_at"),
+            F.max(day).cast("timestamp").alias("ended_at"),
+            F.count_if(filled).alias("filled"),
+        )
+
+    def of(people: DataFrame, key: str, span: DataFrame, survey: str, least: int) -> DataFrame:
+        done = F.col("filled") >= least
+        return people.join(span, F.col(key) == F.col("k"), "left").select(
+            F.col(key).cast("string").alias("connect_id"),
+            F.lit(survey).alias("secondary_source_concept_id"),
             F.when(done, STATUS_SUBMITTED)
             .when(F.col("started_at").isNotNull(), STATUS_STARTED)
             .otherwise(STATUS_NOT_STARTED)
@@ -689,7 +694,13 @@ def customer_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "started_at",
             F.when(done, F.col("ended_at")).alias("completed_at"),
         )
-    )
+
+    orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    by_customer = spans(orders, "o_custkey", "o_orderdate", F.col("o_orderstatus") == "F")
+    by_supplier = spans(items, "l_suppkey", "l_shipdate", F.col("l_returnflag") == "R")
+    customers = of(table(spark, sf_dir, "customer"), "c_custkey", by_customer, SURVEY_A, 3)
+    suppliers = of(table(spark, sf_dir, "supplier"), "s_suppkey", by_supplier, SURVEY_B, 190)
+    return with_session_facts(customers.unionByName(suppliers))
 
 
 ASKED = [
@@ -698,11 +709,13 @@ ASKED = [
     (SURVEY_A, "100000003", "2001-06-01"),
     (SURVEY_A, "110000002", None),
     (SURVEY_A, "120000001", "2000-01-01"),
+    (SURVEY_B, "784119588", None),
+    (SURVEY_B, "100000011", "2001-12-31"),
 ]
 
 
 def asked_questions(spark: SparkSession) -> DataFrame:
-    """Questions of module A with the day they were added."""
+    """Questions of modules A and B with the day they were added."""
     return rows(
         spark,
         "secondary_source_concept_id string, question_concept_id string, added_at date",

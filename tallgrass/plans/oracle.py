@@ -427,7 +427,12 @@ FROM (SELECT CAST(c_custkey AS VARCHAR) AS connect_id, '300000001' AS secondary_
   CASE WHEN filled >= 3 THEN '231311385' WHEN st IS NOT NULL THEN '615768760' ELSE '972455046' END AS status_concept_id,
   st AS started_at, CASE WHEN filled >= 3 THEN en END AS completed_at
   FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS st, max(o_orderdate) AS en,
-    count(*) FILTER (WHERE o_orderstatus = 'F') AS filled FROM orders GROUP BY o_custkey) o ON o_custkey = c_custkey)""",
+    count(*) FILTER (WHERE o_orderstatus = 'F') AS filled FROM orders GROUP BY o_custkey) o ON o_custkey = c_custkey
+  UNION ALL SELECT CAST(s_suppkey AS VARCHAR), '300000002',
+  CASE WHEN filled >= 190 THEN '231311385' WHEN st IS NOT NULL THEN '615768760' ELSE '972455046' END,
+  st, CASE WHEN filled >= 190 THEN en END
+  FROM supplier LEFT JOIN (SELECT l_suppkey, min(l_shipdate) AS st, max(l_shipdate) AS en,
+    count(*) FILTER (WHERE l_returnflag = 'R') AS filled FROM lineitem GROUP BY l_suppkey) l ON l_suppkey = s_suppkey)""",
     "asked": values(
         "secondary_source_concept_id, question_concept_id, added_at",
         inputs.ASKED,

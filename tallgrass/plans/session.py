@@ -35,6 +35,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
         .appName("tallgrass")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in SETTINGS.items():

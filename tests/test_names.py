@@ -18,7 +18,7 @@ GRAMMAR = {
     "D_123456789_1_12": (["123456789"], "", 12, 12, []),
     "d_123456789_AGE": (["123456789"], "", None, None, ["AGE"]),
     "d_123456789_123": (["123456789"], "", None, None, ["123"]),
-    "Connect_ID": ([], "", None, None, ["Connect", "ID"]),
+    "Person_ID": ([], "", None, None, ["Person", "ID"]),
     "token": ([], "", None, None, ["token"]),
     "d_123456789_v2x": (["123456789"], "", None, None, ["v2x"]),
 }

@@ -65,6 +65,14 @@ def test_entry_gives_rows(spark):
     assert entry.entry(spark).count() == 5
 
 
+@pytest.mark.parametrize(
+    "name", ["missingness", "offered_denominator", "quality_rules", "responses_enriched", "distribution_pct", "reachable"]
+)
+def test_no_join_without_a_key(spark, plan_of, name):
+    plan = plan_of(entry.queries()[name](spark, SF_DIR))
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
 def test_scan_reduction_never_reads_more(spark):
     rows = {r["shape"]: r for r in entry.queries()["scan_reduction"](spark, SF_DIR).collect()}
     assert rows["E"]["scan_reduction_ratio"] == 0
