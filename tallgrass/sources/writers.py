@@ -38,7 +38,8 @@ def write_clustered(
 
     A survey or question filter then prunes files and row groups by min/max; a participant lookup,
     the last key, is helped by the bloom filter. A hot question spreads over ranges because the
-    participant is part of the key.
+    participant is part of the key. Ranges are found by sampling, which runs the input a second time,
+    so pass a stored table rather than the plan of a load.
     """
     ranged = (
         fact.repartitionByRange(*keys) if files is None else fact.repartitionByRange(files, *keys)
