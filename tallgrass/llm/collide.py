@@ -52,7 +52,8 @@ def repeated(
         schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("places", pa.binary())])
         turn = 0
         for batch in batches:
-            keys, docs, places = emit(batch)
+            given = emit(batch)
+            keys, docs, places = given
             if len(keys) == 0:
                 continue
             order = np.argsort(keys)
@@ -65,10 +66,10 @@ def repeated(
             for i in range(0, len(own[0]), _CHUNK):
                 rows.append(_row((turn + i // _CHUNK) % parts, _DONE, tuple(x[i : i + _CHUNK] for x in own)))
             heads = starts[length[starts] > 1]
-            single = ~many
-            keys = np.r_[keys[single], keys[heads]]
-            docs = np.r_[docs[single], np.zeros(len(heads), dtype=np.int64)]
-            places = np.r_[places[single], np.full(len(heads), -1)]
+            single = np.sort(order[~many])  # in the order of the texts, which packs better
+            keys = np.r_[given[0][single], keys[heads]]
+            docs = np.r_[given[1][single], np.zeros(len(heads), dtype=np.int64)]
+            places = np.r_[given[2][single], np.full(len(heads), -1)]
             part = ((keys >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             keys, docs, places, part = keys[order], docs[order], places[order], part[order]

@@ -10,7 +10,7 @@ verified.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 
 import numpy as np
@@ -146,28 +146,65 @@ def _near(percent: int) -> Column:
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * apart <= (100 - percent) * (na + nb))
 
 
-def _verify(spark: SparkSession, pairs: DataFrame, sketches: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets are similar enough: sketches first, then the sets themselves."""
-    near = (
+Sets = Callable[[DataFrame], DataFrame]
+
+
+def _verify(spark: SparkSession, pairs: DataFrame, facts: DataFrame, near: Column, sets: Sets, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets are similar enough: by ``near`` first, then by the sets themselves."""
+    left = (
         pairs.alias("p")
-        .join(sketches.alias("a"), F.col("p.a") == F.col("a.doc_id"))
-        .join(sketches.alias("b"), F.col("p.b") == F.col("b.doc_id"))
-        .where(_near(percent))
+        .join(facts.alias("a"), F.col("p.a") == F.col("a.node"))
+        .join(facts.alias("b"), F.col("p.b") == F.col("b.node"))
+        .where(near)
         .select("p.a", "p.b")
         .distinct()
     )
-    near = keep(spark, near, "near")
-    ids = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = keep(spark, _sets(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text"), size), "sets")
+    left = keep(spark, left, "near")
+    members = keep(spark, sets(left.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
     both = (
-        near.join(sets.select(F.col("doc_id").alias("a"), F.col("members").alias("x")), "a")
-        .join(sets.select(F.col("doc_id").alias("b"), F.col("members").alias("y")), "b")
+        left.join(members.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
+        .join(members.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
         .withColumn("common", F.size(F.array_intersect("x", "y")))
         .where(100 * F.col("common") >= percent * (F.size("x") + F.size("y") - F.col("common")))
     )
     return keep(spark, both.select("a", "b").distinct(), "similar")
 
 
+def link(spark: SparkSession, met: DataFrame, facts: DataFrame, near: Column, sets: Sets, percent: int) -> DataFrame:
+    """Components ``(node, component)`` under similarity of the nodes that meet in ``met(key, node)``.
+
+    First each node is compared with one leader per key, another one for each key, which joins a group
+    of near copies with few comparisons. Then every pair left that shares a key and lies in different
+    components is compared; where most nodes of a key are in one component, only the others are. Pairs
+    within a component need no comparison, so no link between components is lost.
+
+    ``facts(node, ...)`` has what the condition ``near`` on ``a`` and ``b`` reads; ``sets`` gives the
+    ``members`` of the nodes it is handed.
+    """
+    mask = F.col("key").bitwiseAND(F.lit((1 << 63) - 1))
+    leader = met.groupBy("key").agg(F.min(F.col("node").bitwiseXOR(mask)).alias("a")).withColumn("a", F.col("a").bitwiseXOR(mask))
+    pairs = met.join(leader, "key").where("a <> node").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    similar = _verify(spark, pairs, facts, near, sets, percent)
+    groups = components(spark, similar)
+
+    placed = met.join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
+    placed = keep(spark, placed, "placed")
+    sizes = placed.groupBy("key", "label").agg(F.count("*").alias("c"))
+    mixed = sizes.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
+    mixed = placed.join(mixed.select("key", F.col("top.label").alias("main")), "key")
+    mixed = keep(spark, mixed.join(facts, "node"), "mixed")
+    others = (
+        mixed.where("label <> main").alias("a").join(mixed.alias("b"), "key")
+        .where("a.label <> b.label and (b.label = b.main or a.node < b.node)")
+        .where(near)
+        .select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))
+        .distinct()
+        .join(pairs, ["a", "b"], "left_anti")
+    )
+    more = _verify(spark, others, facts, near, sets, percent)
+    return groups if more.isEmpty() else components(spark, similar.union(more))
+
+
 def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs(doc_id, text, ...)``.
 
@@ -176,12 +213,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = 5, percent: i
     ``doc_id`` that links lead to. Sets are compared by 64-bit hashes of their members, and equal sets
     are found by a 128-bit digest.
 
-    Equal sets are joined first and only the smallest ``doc_id`` of each goes on. Texts that share a
-    piece are first compared with one leader per piece (another one for each piece), which joins a
-    group of near copies with few comparisons. Then every pair left that shares a piece and lies in
-    different components so far is compared, so no link between components is lost; pairs within a
-    component need no comparison. Where most texts of a piece are in one component, only the others
-    are compared.
+    Equal sets are joined first and only the smallest ``doc_id`` of each goes on (``link``).
 
     Null or blank texts have no shingles and are linked with nothing; a row without ``doc_id`` keeps
     its row with a null component; of repeated ``doc_id`` each row stays and all take part under that
@@ -198,33 +230,13 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = 5, percent: i
         docs_ = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), lengths)
         return lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), docs_, np.zeros(len(docs_), dtype=np.int64)
 
-    met = keep(spark, repeated(first.select("doc_id", "keys"), emit).select("key", "doc_id"), "met")
-    sketches = known.drop("keys", "d1", "d2")
-
-    mask = F.col("key").bitwiseAND(F.lit((1 << 63) - 1))
-    leader = met.groupBy("key").agg(F.min(F.col("doc_id").bitwiseXOR(mask)).alias("a")).withColumn("a", F.col("a").bitwiseXOR(mask))
-    pairs = met.join(leader, "key").where("a <> doc_id").select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
-    similar = _verify(spark, pairs, sketches, docs, size, percent)
-    groups = components(spark, similar)
+    met = keep(spark, repeated(first.select("doc_id", "keys"), emit).select("key", F.col("doc_id").alias("node")), "met")
 
-    placed = met.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("label"))
-    placed = keep(spark, placed, "placed")
-    sizes = placed.groupBy("key", "label").agg(F.count("*").alias("c"))
-    mixed = sizes.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
-    mixed = placed.join(mixed.select("key", F.col("top.label").alias("main")), "key")
-    mixed = keep(spark, mixed.join(sketches, "doc_id"), "mixed")
-    others = (
-        mixed.where("label <> main").alias("a").join(mixed.alias("b"), "key")
-        .where("a.label <> b.label and (b.label = b.main or a.doc_id < b.doc_id)")
-        .where(_near(percent))
-        .select(F.least("a.doc_id", "b.doc_id").alias("a"), F.greatest("a.doc_id", "b.doc_id").alias("b"))
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
-    )
-    more = _verify(spark, others, sketches, docs, size, percent)
-    if not more.isEmpty():
-        groups = components(spark, similar.union(more))
+    def sets(nodes: DataFrame) -> DataFrame:
+        own = docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+        return _sets(own.select("doc_id", "text"), size).withColumnRenamed("doc_id", "node")
 
+    groups = link(spark, met, known.drop("keys", "d1", "d2").withColumnRenamed("doc_id", "node"), _near(percent), sets, percent)
     return (
         table.select("doc_id", "n_shingles", "d1", "d2")
         .join(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), ["d1", "d2"], "left")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrass.llm import bpe_codec, chat_format, jaccard_join, license_scan, quality_rules, token_counts
+from tallgrass.llm import bpe_codec, chat_format, decontaminate, jaccard_join, license_scan, lm_score, paragraph_dedup, quality_rules, substring_arrays, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,15 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op3_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.paragraph_dedup(spark, table(spark, sf_dir, "documents"))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_arrays.remove_repeats(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(spark, table(spark, sf_dir, "documents"))
 
@@ -57,10 +66,19 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_score(spark, table(spark, sf_dir, "documents"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_jaccard_join, op2_token_counts, op5_quality_rules, op6_license_scan, op7_bpe_codec, op8_chat_format,
+        op1_jaccard_join, op2_token_counts, op3_paragraph_dedup, op4_suffix_dedup, op5_quality_rules, op6_license_scan, op7_bpe_codec, op8_chat_format,
+        op9_lm_score, op10_decontaminate,
     )
 }
 
