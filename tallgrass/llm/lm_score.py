@@ -195,8 +195,9 @@ def _heavy(model: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], counts[order]
 
 
-_SCORED = "doc_id long, text_hash long, rows long, n_tokens long, n_known long, logs double, score double"
-_ASKED = "part int, keys binary, counts binary, docs binary, hashes binary, at binary, owner binary, times binary, " + _SCORED
+_SCORED = "doc_id long, n_tokens long, n_known long, logs double, score double"
+_ASKED = "part int, kind int, slice long, a binary, b binary, c binary, d binary, e binary, f binary"
+_TABLE, _ASK, _BASE, _SUMS = range(4)  # word counts; words to look up; what a slice knows itself; what it is told
 
 
 def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -226,30 +227,27 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
     del segments
     heavy = spark.sparkContext.broadcast(_heavy(model, max(1, -(-total // HEAVY))))
     floor = np.log10(total + distinct + 1)
-    names = [c.split()[0] for c in _ASKED.split(", ")]
-    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
-    schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in _ASKED.split(", ")])
+    schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("slice", pa.int64()), *((c, pa.binary()) for c in "abcdef")])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Score what needs no shuffle, and ask the parts for the counts of rarer words."""
         lm, (often, count) = filter_.value, heavy.value
-        turn = 0
         for batch in batches:
-            ids = batch.column(0)
             for first, offsets, data in arrays.slices(batch.column(1)):
                 rows = len(offsets) - 1
+                ids = batch.column(0).slice(first, rows)
+                null = ids.is_null().to_numpy(zero_copy_only=False)
+                ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
                 tokens, text = _tokens(data, offsets)
                 pairs, before = _pairs(tokens, text)
                 word, back = np.unique(np.r_[tokens, START], return_inverse=True)
                 about = lm.count(word)
-                start = back[-1]
-                back = back[:-1]
+                start, back = back[-1], back[:-1]
                 prior = np.r_[start, back[:-1]]
                 prior[before == START] = start
                 one = (about[back] + 1) / (total + distinct + 1)
                 base = about[prior]
-                two = lm.count(pairs)
-                share = np.divide(two, base, out=np.zeros(len(two)), where=base > 0)
+                share = np.divide(lm.count(pairs), base, out=np.zeros(len(base)), where=base > 0)
                 log = np.log10(np.where(base > 0, MIX * np.minimum(share, 1.0) + (1 - MIX) * one, one))
                 score = np.bincount(text, weights=log, minlength=rows)
                 n = np.bincount(text, minlength=rows)
@@ -258,81 +256,79 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
                 c = np.where(known, count[at], 0) if len(often) else np.zeros(len(word))
                 logs = np.bincount(text, weights=np.log10(c + 1)[back], minlength=rows) - n * floor
                 sure = np.bincount(text, weights=known[back], minlength=rows).astype(np.int64)
-                own = ids.slice(first, rows)
-                hashes = np.array([zlib.crc32(data[a:b]) << 24 ^ (b - a) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], dtype=np.int64)
-                empty = pa.nulls(rows, pa.binary())
-                yield pa.record_batch(
-                    [pa.array(np.full(rows, turn % parts), pa.int32()), *[empty] * 7, own, pa.array(hashes), pa.array(np.ones(rows, dtype=np.int64)),
-                     pa.array(n.astype(np.int64)), pa.array(sure), pa.array(logs), pa.array(score)],
-                    names=names,
-                )
-                turn += 1
-                # rarer words: distinct (text, word) with how often
+                # named by its content, so that a task run again gives the same name
+                name = int(np.bitwise_xor.reduce(arrays.mix(ids.view(np.uint64) + arrays.mix(np.cumsum(n).astype(np.uint64))))) ^ zlib.crc32(data) << 20
+                asked = [{
+                    "part": name % parts, "kind": _BASE, "slice": name >> 1, "a": ids.tobytes(), "b": null.tobytes(), "c": n.astype(np.int64).tobytes(),
+                    "d": sure.tobytes(), "e": logs.tobytes(), "f": score.tobytes(),
+                }]
                 rare = ~known[back]
-                if not rare.any():
-                    continue
-                pair, times = np.unique(back[rare] * rows + text[rare], return_counts=True)
-                w, d = pair // rows, pair % rows
-                doc_values = ids.slice(first, rows).to_numpy(zero_copy_only=False)
-                null = ids.slice(first, rows).is_null().to_numpy(zero_copy_only=False)
-                doc_values = np.where(null, np.int64(-(1 << 63)), doc_values).astype(np.int64)
-                asked = []
-                for part, places in _split(word[w], parts):
-                    docs_here, local = np.unique(d[places], return_inverse=True)
-                    words_here, which = np.unique(word[w[places]], return_inverse=True)
-                    asked.append({
-                        "part": part, "keys": words_here.tobytes(), "docs": doc_values[docs_here].tobytes(), "hashes": hashes[docs_here].tobytes(),
-                        "at": which.astype(np.uint32).tobytes(), "owner": local.astype(np.uint32).tobytes(), "times": times[places].astype(np.uint32).tobytes(),
-                    })
+                if rare.any():  # distinct (word, text) with how often
+                    pair, times = np.unique(back[rare] * rows + text[rare], return_counts=True)
+                    w, d = pair // rows, pair % rows
+                    for part, places in _split(word[w], parts):
+                        here, which = np.unique(word[w[places]], return_inverse=True)
+                        asked.append({
+                            "part": part, "kind": _ASK, "slice": name >> 1, "a": here.tobytes(), "b": which.astype(np.uint32).tobytes(),
+                            "c": d[places].astype(np.uint32).tobytes(), "d": times[places].astype(np.uint32).tobytes(), "e": np.int64(name % parts).tobytes(),
+                        })
                 yield pa.RecordBatch.from_pylist(asked, schema=schema)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pass scores on; add up the logs of the rarer words of every text, by the part's counts."""
-        out = [c.split()[0] for c in _SCORED.split(", ")]
-        waiting: list[tuple] = []
+        """Add up the logs of the rarer words of every text by the part's counts, one row per question."""
+        waiting: list[dict] = []
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            scored = batch.filter(batch.column(names.index("rows")).is_valid())
-            if scored.num_rows:
-                yield scored.select(out)
-            rest = batch.filter(batch.column(names.index("rows")).is_null())
-            for row in rest.select(["keys", "counts", "docs", "hashes", "at", "owner", "times"]).to_pylist():
-                if row["counts"] is not None:
-                    held.append((np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["counts"], np.int64)))
+            own = batch.column(1).to_numpy(zero_copy_only=False) == _BASE
+            if own.any():
+                yield batch.filter(pa.array(own))
+            for row in batch.filter(pa.array(~own)).to_pylist():
+                if row["kind"] == _TABLE:
+                    held.append((np.frombuffer(row["a"], np.uint64), np.frombuffer(row["b"], np.int64)))
                 else:
-                    waiting.append(tuple(row.values()))
+                    waiting.append(row)
         keys, counts = _sum(*(np.concatenate([h[i] for h in held]) if held else np.empty(0, dtype=(np.uint64, np.int64)[i]) for i in (0, 1)))
-        for asked, _, docs_, hashes, which, owner, times in waiting:
-            asked = np.frombuffer(asked, np.uint64)
-            docs_, hashes = np.frombuffer(docs_, np.int64), np.frombuffer(hashes, np.int64)
-            which, owner, times = (np.frombuffer(x, np.uint32).astype(np.int64) for x in (which, owner, times))
+        for row in waiting:
+            asked = np.frombuffer(row["a"], np.uint64)
+            which, owner, times = (np.frombuffer(row[x], np.uint32).astype(np.int64) for x in "bcd")
             c = np.zeros(len(asked), dtype=np.int64)
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
                 c = np.where(keys[at] == asked, counts[at], 0)
-            logs = np.bincount(owner, weights=times * np.log10(c + 1)[which], minlength=len(docs_))
-            known = np.bincount(owner, weights=times * (c > 0)[which], minlength=len(docs_)).astype(np.int64)
-            zero = np.zeros(len(docs_), dtype=np.int64)
-            yield pa.record_batch(
-                [pa.array(docs_, mask=docs_ == -(1 << 63)), pa.array(hashes), pa.array(zero), pa.array(zero), pa.array(known), pa.array(logs), pa.array(zero.astype(float))],
-                names=out,
-            )
+            texts, local = np.unique(owner, return_inverse=True)
+            logs = np.bincount(local, weights=times * np.log10(c + 1)[which], minlength=len(texts))
+            found = np.bincount(local, weights=times * (c > 0)[which], minlength=len(texts)).astype(np.int64)
+            told = {"part": int(np.frombuffer(row["e"], np.int64)[0]), "kind": _SUMS, "slice": row["slice"], "a": texts.tobytes(), "b": logs.tobytes(), "c": found.tobytes()}
+            yield pa.RecordBatch.from_pylist([told], schema=schema)
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Put the sums of each slice together."""
+        bases: dict[int, list[dict]] = {}
+        sums: dict[int, list[dict]] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                (bases if row["kind"] == _BASE else sums).setdefault(row["slice"], []).append(row)
+        for name, rows in bases.items():
+            ids = np.frombuffer(rows[0]["a"], np.int64)
+            logs, known = np.zeros(len(ids)), np.zeros(len(ids), dtype=np.int64)
+            for told in sums.pop(name, []):
+                at = np.frombuffer(told["a"], np.int64)
+                logs[at] += np.frombuffer(told["b"], np.float64)
+                known[at] += np.frombuffer(told["c"], np.int64)
+            for row in rows:  # slices of the same content share a name, and are told the same
+                yield pa.record_batch(
+                    [pa.array(np.frombuffer(row["a"], np.int64), mask=np.frombuffer(row["b"], bool)), pa.array(np.frombuffer(row["c"], np.int64)),
+                     pa.array(np.frombuffer(row["d"], np.int64) + known // len(rows)), pa.array(np.frombuffer(row["e"], np.float64) + logs / len(rows)),
+                     pa.array(np.frombuffer(row["f"], np.float64))],
+                    names=["doc_id", "n_tokens", "n_known", "logs", "score"],
+                )
 
-    tables = model.select("part", "keys", "counts")
-    for column in _ASKED.split(", ")[3:]:
-        name, kind = column.split()
-        tables = tables.withColumn(name, F.lit(None).cast(kind))
-    asked = docs.mapInArrow(ask, _ASKED).union(tables).repartitionById(parts, F.col("part")).mapInArrow(answer, _SCORED)
-    summed = asked.groupBy("doc_id", "text_hash").agg(*[F.sum(c).alias(c) for c in ("rows", "n_tokens", "n_known", "logs", "score")])
-    return (
-        summed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-        .select(
-            "doc_id",
-            (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2).alias("held_out"),
-            (F.col("n_tokens") / F.col("rows")).cast("long").alias("n_tokens"),
-            (F.col("n_known") / F.col("rows")).cast("long").alias("n_known"),
-            F.lit(total).cast("long").alias("train_tokens"),
-            (F.col("logs") / F.col("rows")).alias("base_score"),
-            (F.col("score") / F.col("rows")).alias("score"),
-        )
+    empty = [F.lit(None).cast("binary").alias(c) for c in "cdef"]
+    tables = model.select("part", F.lit(_TABLE).alias("kind"), F.lit(0).cast("long").alias("slice"), F.col("keys").alias("a"), F.col("counts").alias("b"), *empty)
+    asked = docs.mapInArrow(ask, _ASKED).union(tables).repartitionById(parts, F.col("part")).mapInArrow(answer, _ASKED)
+    scored = asked.repartitionById(parts, F.col("part")).mapInArrow(settle, _SCORED)
+    return scored.select(
+        "doc_id",
+        (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2).alias("held_out"),
+        "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), F.col("logs").alias("base_score"), "score",
     )
