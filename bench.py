@@ -75,7 +75,7 @@ def main() -> None:
     writers.write_shadow(inputs.fact(spark, SF_DIR), shadow)
     queries["write_shadow"] = round(time.perf_counter() - start, 3)
     start = time.perf_counter()
-    writers.write_clustered(readers.read_fact(spark, shadow), clustered, files=16)
+    writers.write_clustered(readers.read_fact(spark, shadow), clustered)
     queries["write_clustered"] = round(time.perf_counter() - start, 3)
     shapes: dict[str, Callable[[DataFrame], DataFrame]] = {
         "shape_a": lambda f: analytics.shape_a(f, inputs.SURVEY_A),

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.operators.dictionary import Star
-from tallgrass.operators.joins import measured
 from tallgrass.schema import YES
 
 
@@ -126,7 +125,7 @@ def harmonised(fact: DataFrame, star: Star, edges: DataFrame, canonical: str) ->
         star.question.select("question_concept_id", F.col("question_text").alias("field")),
         "question_concept_id",
     )
-    return fact.join(measured(fields), "question_concept_id").select(
+    return fact.join(fields, "question_concept_id").select(
         "field", "response_value_as_string", "connect_id", "loop_instance"
     )
 
@@ -264,7 +263,7 @@ def address_rows(fact: DataFrame, fields: DataFrame, components: Sequence[str])
     questions fill the same piece, the largest text is kept.
     """
     places = fields.select("question_concept_id", "component", "address_class")
-    placed = fact.join(measured(places), "question_concept_id")
+    placed = fact.join(places, "question_concept_id")
     return placed.groupBy("connect_id", "address_class", "loop_instance").agg(
         *[
             F.max(F.when(F.col("component") == c, F.col("response_value_as_string"))).alias(c)

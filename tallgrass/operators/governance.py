@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.operators.joins import measured
 
 # Tiers from least to most restricted.
 TIERS = (
@@ -31,6 +30,7 @@ IDENTIFIERS = {
     "ssn": r"social security|\bssn\b",
     "biometric": r"fingerprint|biometric|genetic",
 }
+UNCLASSIFIED = "unclassified"  # behind all tiers: no release reaches it
 
 
 def sensitivity_scan(items: DataFrame, id_column: str, *texts: str) -> DataFrame:
@@ -63,9 +63,14 @@ def pii_flag_audit(flags: DataFrame, scanned: DataFrame, id_column: str) -> Data
 
 
 def tier_rank(tier: Column) -> Column:
-    """Position of a tier in the restriction order; an unclassified item counts as least restricted."""
+    """Position of a tier in the restriction order; an unclassified item or an unknown name comes last, most restricted."""
     ranks = [F.when(tier == name, F.lit(rank)) for rank, name in enumerate(TIERS)]
-    return F.coalesce(*ranks, F.lit(0))
+    return F.coalesce(*ranks, F.lit(len(TIERS)))
+
+
+def unknown_tiers(tiers: DataFrame) -> DataFrame:
+    """Rows of a tier table whose tier is no known name."""
+    return tiers.where(F.col("tier").isNull() | ~F.col("tier").isin(*TIERS))
 
 
 def effective_tier(
@@ -73,15 +78,18 @@ def effective_tier(
 ) -> DataFrame:
     """Answers with the stricter of their question's and their response's tier.
 
-    A harmless parent never makes a sensitive option harmless, so the maximum is taken per row.
+    A harmless parent never makes a sensitive option harmless, so the maximum is taken per row. A
+    question without a known tier is ``unclassified``, which no release lets out; an answer without a
+    tier of its own has its question's.
     """
     questions = question_tiers.select("question_concept_id", F.col("tier").alias("question_tier"))
     responses = response_tiers.select(
         F.col("response_concept_id").alias("response_value_as_concept_id"),
         F.col("tier").alias("response_tier"),
     )
-    names = F.array(*[F.lit(t) for t in TIERS])
-    rank = F.greatest(tier_rank(F.col("question_tier")), tier_rank(F.col("response_tier")))
+    names = F.array(*[F.lit(t) for t in (*TIERS, UNCLASSIFIED)])
+    own = F.when(F.col("response_tier").isNull(), F.lit(0)).otherwise(tier_rank(F.col("response_tier")))
+    rank = F.greatest(tier_rank(F.col("question_tier")), own)
     return (
         fact.join(questions, "question_concept_id", "left")
         .join(responses, "response_value_as_concept_id", "left")
@@ -96,16 +104,14 @@ def release(tiered: DataFrame, up_to: str) -> DataFrame:
 
 
 def mask_free_text(fact: DataFrame) -> DataFrame:
-    """Hide the verbatim text unless one of the typed columns took it."""
+    """Hide the verbatim text, and the id that is a hash of it, unless one of the typed columns took it."""
     typed = F.coalesce(
         F.col("response_value_as_concept_id"),
         F.col("response_value_as_date").cast("string"),
         F.col("response_value_as_number").cast("string"),
     )
-    return fact.withColumn(
-        "response_value_as_string",
-        F.when(typed.isNotNull(), F.col("response_value_as_string")),
-    )
+    hidden = [c for c in ("response_value_as_string", "response_unique_id") if c in fact.columns]
+    return fact.withColumns({c: F.when(typed.isNotNull(), F.col(c)) for c in hidden})
 
 
 def shift_days(participant: Column, salt: str, span: int) -> Column:
@@ -119,8 +125,11 @@ def shift_dates(fact: DataFrame, salt: str, span: int) -> DataFrame:
     """Dates moved by one offset per participant, so intervals within a participant are kept.
 
     The source only asks for a per-participant offset; hashing with a secret salt is our rule. The
-    verbatim text of a date is replaced too, or it would give the date away.
+    verbatim text of a date is replaced too, or it would give the date away; so would the id, a hash of
+    it, which is cleared.
     """
+    if "response_unique_id" in fact.columns:
+        fact = fact.withColumn("response_unique_id", F.when(F.col("response_value_as_date").isNull(), F.col("response_unique_id")))
     shifted = F.date_add("response_value_as_date", shift_days(F.col("connect_id"), salt, span))
     return fact.withColumn("response_value_as_date", shifted).withColumn(
         "response_value_as_string",
@@ -150,7 +159,7 @@ def top_code_age(fact: DataFrame, age_questions: list[str], limit: int = 89) ->
 def drop_identifiers(fact: DataFrame, scanned: DataFrame) -> DataFrame:
     """Leave out every answer to a question that the scan found to be an identifier."""
     found = scanned.where("is_identifier").select("question_concept_id").distinct()
-    return fact.join(measured(found), "question_concept_id", "left_anti").select(*fact.columns)
+    return fact.join(found, "question_concept_id", "left_anti").select(*fact.columns)
 
 
 def suppressed_counts(fact: DataFrame, least: int) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -81,17 +81,15 @@ def _whole(column: str) -> Column:
 def module_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A wide survey of every customer: codes, numbers, text, edge cases, select-all, loops.
 
-    The loop columns hold a customer's first three orders. The rank filter is pushed below the
-    shuffle by Spark, so a customer with very many orders sends three rows per input partition.
+    The loop columns hold the sum of all of a customer's orders of high, of medium and of low priority,
+    so every order counts and the sums are combined before the shuffle.
     """
     key = F.col("c_custkey")
-    first = Window.partitionBy("o_custkey").orderBy("o_orderkey")
     loops = (
         table(spark, sf_dir, "orders")
-        .select("o_custkey", F.floor("o_totalprice").cast("bigint").alias("v"), F.row_number().over(first).alias("rn"))
-        .where("rn <= 3")
+        .select("o_custkey", F.floor("o_totalprice").cast("bigint").alias("v"), F.left("o_orderpriority", F.lit(1)).alias("p"))
         .groupBy("o_custkey")
-        .agg(*[F.max(F.when(F.col("rn") == n, F.col("v"))).alias(f"loop_{n}") for n in (1, 2, 3)])
+        .agg(*[F.sum(F.when(F.col("p").isin(*ps), F.col("v"))).alias(f"loop_{n}") for n, ps in ((1, "12"), (2, "3"), (3, "45"))])
     )
     segment = F.create_map(
         *[

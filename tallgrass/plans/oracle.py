@@ -99,10 +99,9 @@ SELECT CAST(c.c_custkey AS VARCHAR) AS connect_id,
   l1 AS d_120000000_d_120000001_1, l2 AS d_120000000_d_120000001_2, l3 AS d_120000000_d_120000001_3,
   '163149180' AS d_784119588
 FROM customer c LEFT JOIN (
-  SELECT o_custkey, max(CASE WHEN rn = 1 THEN v END) AS l1, max(CASE WHEN rn = 2 THEN v END) AS l2,
-    max(CASE WHEN rn = 3 THEN v END) AS l3
-  FROM (SELECT o_custkey, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS v,
-          row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders) x
+  SELECT o_custkey, CAST(sum(v) FILTER (p IN ('1', '2')) AS VARCHAR) AS l1, CAST(sum(v) FILTER (p = '3') AS VARCHAR) AS l2,
+    CAST(sum(v) FILTER (p IN ('4', '5')) AS VARCHAR) AS l3
+  FROM (SELECT o_custkey, CAST(floor(o_totalprice) AS BIGINT) AS v, left(o_orderpriority, 1) AS p FROM orders) x
   GROUP BY o_custkey) o ON o.o_custkey = c.c_custkey""",
     "module_b": """
 SELECT CAST(s_suppkey AS VARCHAR) AS connect_id,
@@ -482,8 +481,8 @@ FROM events WHERE event_type <> 'signup'""",
     )
     + " AS is_identifier FROM variables",
     "tiered": f"""
-SELECT fact.*, greatest(coalesce(list_position({list(TIERS)!r}, qt.tier) - 1, 0),
-    coalesce(list_position({list(TIERS)!r}, rt.tier) - 1, 0)) AS tier_rank
+SELECT fact.*, greatest(coalesce(list_position({list(TIERS)!r}, qt.tier) - 1, {len(TIERS)}),
+    CASE WHEN rt.tier IS NULL THEN 0 ELSE coalesce(list_position({list(TIERS)!r}, rt.tier) - 1, {len(TIERS)}) END) AS tier_rank
 FROM fact LEFT JOIN (VALUES ('100000003', 'free_text'), ('100000002', 'quasi_identifier'),
   ('712653855', 'health_sensitive'), ('110000001', 'non_sensitive')) qt(q, tier) ON qt.q = question_concept_id
 LEFT JOIN (VALUES ('200000004', 'geolocation'), ('353358909', 'quasi_identifier')) rt(r, tier)

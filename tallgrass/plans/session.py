@@ -48,11 +48,12 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the checkpoint folder the cluster names.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    A session of one machine that names none is given one of its own; a cluster must name one.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="tallgrass-")
+        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

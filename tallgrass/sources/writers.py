@@ -17,9 +17,11 @@ def create_fact(spark: SparkSession, path: str, schema: T.StructType, recreate:
     empty.write.mode("overwrite" if recreate else "ignore").parquet(path)
 
 
-def reload_source(fact: DataFrame, path: str) -> None:
+def reload_source(fact: DataFrame, path: str, source: str | None = None) -> None:
     """Replace the rows of the source tables present in ``fact``; other sources stay.
 
+    Name the ``source`` of a load that may be empty: an emptied source then loses its old rows.
+
     Each source table is one directory. A load comes from one wide table, so every task writes into
     its own source directory and nothing is shuffled.
     """
@@ -29,6 +31,10 @@ def reload_source(fact: DataFrame, path: str) -> None:
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
     )
+    if source is not None and fact.isEmpty():
+        spark = fact.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path, f"source_table={source}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_clustered(

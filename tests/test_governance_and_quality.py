@@ -38,9 +38,9 @@ def test_effective_tier_is_the_stricter_one(spark):
     got = {(r.question_concept_id, r.response_value_as_concept_id): r.sensitivity_tier for r in tiered.collect()}
     assert got == {
         ("q1", "r1"): "quasi_identifier", ("q1", "r2"): "geolocation", ("q2", "r2"): "genetic",
-        ("q3", None): "non_sensitive",
+        ("q3", None): "unclassified",
     }
-    assert governance.release(tiered, "quasi_identifier").count() == 2
+    assert governance.release(tiered, "quasi_identifier").count() == 1  # the unclassified question stays in
 
 
 def test_date_shift_keeps_intervals_and_hides_the_text(spark):
@@ -91,6 +91,7 @@ def test_suppression_hides_a_companion_cell(spark):
 def test_masking_keeps_typed_answers_only(spark):
     fact = inputs.fact(spark, SF_DIR, "module_a")
     masked = governance.mask_free_text(fact)
+    assert masked.where("response_value_as_string IS NULL AND response_unique_id IS NOT NULL").count() == 0
     assert masked.count() == fact.count()
     left = masked.where("response_value_as_string IS NOT NULL")
     assert left.where(

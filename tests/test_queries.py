@@ -71,11 +71,3 @@ def test_entry_gives_rows(spark):
 def test_no_join_without_a_key(spark, plan_of, name):
     plan = plan_of(entry.queries()[name](spark, SF_DIR))
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
-
-
-def test_scan_reduction_never_reads_more(spark):
-    rows = {r["shape"]: r for r in entry.queries()["scan_reduction"](spark, SF_DIR).collect()}
-    assert rows["E"]["scan_reduction_ratio"] == 0
-    assert rows["B"]["clustered"] <= rows["A"]["clustered"]
-    assert rows["B"]["clustered"] < rows["B"]["no_clustering"]
-    assert rows["C"]["clustered"] < rows["C"]["no_clustering"]

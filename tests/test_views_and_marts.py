@@ -3,7 +3,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from tallgrass.operators import analytics, joins, marts, views
+from tallgrass.operators import analytics, marts, views
 from tallgrass.operators.dictionary import Star
 from tallgrass.plans import inputs
 from tallgrass.schema import NO, YES
@@ -103,22 +103,6 @@ def test_enriched_makes_only_the_needed_joins(spark, plan_of):
     assert "SortMergeJoin" not in full.split("BroadcastExchange")[0]
 
 
-def test_measured_side_is_hinted_only_under_the_limit(spark, plan_of):
-    big = spark.range(200000).select(F.col("id").alias("k"), F.lit("x" * 100).alias("v"))
-    few = spark.range(10).select(F.col("id").alias("k"))
-    left = spark.range(100).select(F.col("id").alias("k"))
-    assert "Broadcast" in plan_of(left.join(joins.measured(few), "k"))
-    assert "ResolvedHint" not in joins.measured(big)._jdf.queryExecution().logical().toString()
-    assert "ResolvedHint" in joins.measured(few)._jdf.queryExecution().analyzed().toString()
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert "ResolvedHint" not in joins.measured(few)._jdf.queryExecution().analyzed().toString()
-        assert "SortMergeJoin" in plan_of(left.join(joins.measured(few), "k"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
 def test_results_are_the_same_without_broadcasts(spark, as_set):
     fact, star = inputs.fact(spark, SF_DIR), inputs.star(spark, SF_DIR)
     usual = as_set(views.responses_enriched(fact, star))
