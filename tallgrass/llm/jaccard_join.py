@@ -23,9 +23,10 @@ from tallgrass.llm.collide import repeated
 from tallgrass.llm.graph import components, keep
 
 BAND = 1.35  # upper size of a band over that of the band before
-SKETCH = 8  # 64-bit words of the sketch that is compared as a whole
+LEADERS = 4  # orders by which a key's leader is chosen
+SKETCH = 8  # 64-bit words of the short sketch that is compared while pairs are formed
 
-_PROFILE = "doc_id long, n_shingles long, d1 long, d2 long, " + ", ".join(f"s{i} long" for i in range(SKETCH)) + ", keys array<long>"
+_PROFILE = "doc_id long, n_shingles long, d1 long, d2 long, " + ", ".join(f"s{i} long" for i in range(SKETCH)) + ", sketch array<long>, keys array<long>"
 _ODD = np.uint64(0xA24BAED4963EE407)
 _U = np.uint64
 
@@ -107,6 +108,9 @@ def profiles(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 spread = arrays.mix(hashes ^ _ODD)
                 sketch = _parity(text * (64 * SKETCH) + (spread >> _U(55)).astype(np.int64), rows * 64 * SKETCH)
                 sketch = sketch.view(np.int64).reshape(rows, SKETCH)
+                width = 64 << np.ceil(np.log2(np.maximum(n * 2, 64) / 64)).astype(np.int64)  # bits: a power of two
+                begin = np.cumsum(width) - width
+                long = _parity(begin[text] + (arrays.mix(spread) & (width[text] - 1).astype(np.uint64)).astype(np.int64), int(width.sum()))
                 band = np.searchsorted(tops, n)
                 band[n == 0] = -1
                 below = np.where((band > 0) & (n <= tops[np.maximum(band, 1) - 1] * 100 // percent), band - 1, -1)
@@ -116,8 +120,9 @@ def profiles(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 yield pa.record_batch(
                     [ids.slice(first, rows), pa.array(n.astype(np.int64)), *map(pa.array, digests)]
                     + [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH)]
+                    + [arrays.list_array(long.view(np.int64), width // 64, pa.int64())]
                     + [arrays.list_array(keys[order].view(np.int64), np.bincount(owner, minlength=rows), pa.int64())],
-                    names=["doc_id", "n_shingles", "d1", "d2", *(f"s{i}" for i in range(SKETCH)), "keys"],
+                    names=["doc_id", "n_shingles", "d1", "d2", *(f"s{i}" for i in range(SKETCH)), "sketch", "keys"],
                 )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _PROFILE)
@@ -146,11 +151,24 @@ def _near(percent: int) -> Column:
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * apart <= (100 - percent) * (na + nb))
 
 
+def _near_whole(percent: int) -> Column:
+    """The same by the sketches whose length follows the set's; the longer one is folded to the other's length."""
+
+    def fold(own: str, other: str) -> Column:
+        half = (F.size(own) / 2).cast("int")
+        folded = F.zip_with(F.slice(own, F.lit(1), half), F.slice(own, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(own) > F.size(other), folded).otherwise(F.col(own))
+
+    bits = F.zip_with(fold("x", "y"), fold("y", "x"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(bits, F.lit(0), lambda s, v: s + v)
+    return (100 + percent) * apart <= (100 - percent) * (F.col("nx") + F.col("ny"))
+
+
 Sets = Callable[[DataFrame], DataFrame]
 
 
-def _verify(spark: SparkSession, pairs: DataFrame, facts: DataFrame, near: Column, sets: Sets, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets are similar enough: by ``near`` first, then by the sets themselves."""
+def _verify(spark: SparkSession, pairs: DataFrame, facts: DataFrame, near: Column, sets: Sets, percent: int, sketches: DataFrame | None) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets are similar enough: by ``near``, by whole sketches, then by the sets themselves."""
     left = (
         pairs.alias("p")
         .join(facts.alias("a"), F.col("p.a") == F.col("a.node"))
@@ -159,6 +177,13 @@ def _verify(spark: SparkSession, pairs: DataFrame, facts: DataFrame, near: Colum
         .select("p.a", "p.b")
         .distinct()
     )
+    if sketches is not None:
+        left = (
+            left.join(sketches.select(F.col("node").alias("a"), F.col("n_shingles").alias("nx"), F.col("sketch").alias("x")), "a")
+            .join(sketches.select(F.col("node").alias("b"), F.col("n_shingles").alias("ny"), F.col("sketch").alias("y")), "b")
+            .where(_near_whole(percent))
+            .select("a", "b")
+        )
     left = keep(spark, left, "near")
     members = keep(spark, sets(left.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
     both = (
@@ -170,21 +195,22 @@ def _verify(spark: SparkSession, pairs: DataFrame, facts: DataFrame, near: Colum
     return keep(spark, both.select("a", "b").distinct(), "similar")
 
 
-def link(spark: SparkSession, met: DataFrame, facts: DataFrame, near: Column, sets: Sets, percent: int) -> DataFrame:
+def link(spark: SparkSession, met: DataFrame, facts: DataFrame, near: Column, sets: Sets, percent: int, sketches: DataFrame | None = None) -> DataFrame:
     """Components ``(node, component)`` under similarity of the nodes that meet in ``met(key, node)``.
 
-    First each node is compared with one leader per key, another one for each key, which joins a group
-    of near copies with few comparisons. Then every pair left that shares a key and lies in different
+    First each node is compared with one leader per key, by one of ``LEADERS`` orders of the nodes, so a
+    group of near copies has few leaders and its members are joined with few comparisons. Then every pair left that shares a key and lies in different
     components is compared; where most nodes of a key are in one component, only the others are. Pairs
     within a component need no comparison, so no link between components is lost.
 
-    ``facts(node, ...)`` has what the condition ``near`` on ``a`` and ``b`` reads; ``sets`` gives the
-    ``members`` of the nodes it is handed.
+    ``facts(node, ...)`` has what the condition ``near`` on ``a`` and ``b`` reads; ``sketches(node,
+    n_shingles, sketch)``, if given, rule out more pairs before ``sets`` gives the ``members`` of the nodes
+    it is handed.
     """
-    mask = F.col("key").bitwiseAND(F.lit((1 << 63) - 1))
+    mask = F.xxhash64(F.pmod(F.col("key"), F.lit(LEADERS))).bitwiseAND(F.lit((1 << 63) - 1))
     leader = met.groupBy("key").agg(F.min(F.col("node").bitwiseXOR(mask)).alias("a")).withColumn("a", F.col("a").bitwiseXOR(mask))
     pairs = met.join(leader, "key").where("a <> node").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-    similar = _verify(spark, pairs, facts, near, sets, percent)
+    similar = _verify(spark, pairs, facts, near, sets, percent, sketches)
     groups = components(spark, similar)
 
     placed = met.join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
@@ -201,7 +227,7 @@ def link(spark: SparkSession, met: DataFrame, facts: DataFrame, near: Column, se
         .distinct()
         .join(pairs, ["a", "b"], "left_anti")
     )
-    more = _verify(spark, others, facts, near, sets, percent)
+    more = _verify(spark, others, facts, near, sets, percent, sketches)
     return groups if more.isEmpty() else components(spark, similar.union(more))
 
 
@@ -232,11 +258,13 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = 5, percent: i
 
     met = keep(spark, repeated(first.select("doc_id", "keys"), emit).select("key", F.col("doc_id").alias("node")), "met")
 
-    def sets(nodes: DataFrame) -> DataFrame:
-        own = docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    nodes = known.drop("keys", "d1", "d2").withColumnRenamed("doc_id", "node")
+
+    def sets(wanted: DataFrame) -> DataFrame:
+        own = docs.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
         return _sets(own.select("doc_id", "text"), size).withColumnRenamed("doc_id", "node")
 
-    groups = link(spark, met, known.drop("keys", "d1", "d2").withColumnRenamed("doc_id", "node"), _near(percent), sets, percent)
+    groups = link(spark, met, nodes.drop("sketch"), _near(percent), sets, percent, nodes.select("node", "n_shingles", "sketch"))
     return (
         table.select("doc_id", "n_shingles", "d1", "d2")
         .join(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), ["d1", "d2"], "left")
