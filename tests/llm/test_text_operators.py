@@ -31,6 +31,11 @@ def prose(seed, n):
     return re.sub(r"((?:\S+ ){24}\S+) ", r"\1\n", text)
 
 
+def shouted(text):
+    """A-Z only, as the operators fold nothing else."""
+    return "".join(c.upper() if c.isascii() else c for c in text)
+
+
 def changed(text, every, shift=0):
     return " ".join(w + "x" if i % every == shift else w for i, w in enumerate(text.split(" ")))
 
@@ -38,7 +43,7 @@ def changed(text, every, shift=0):
 def rows():
     base, other = prose(1, 300), prose(2, 90)
     texts = [
-        base, base, changed(base, 120), changed(base, 120, 3), changed(base, 4), base.upper().replace("É", "é"),
+        base, base, changed(base, 120), changed(base, 120, 3), changed(base, 4), shouted(base),
         other, changed(other, 60), "", None, " \n\t ", "one", "one two", "one two", "a" * 2000, "word " * 700,
         other + " Licensed under the Apache License, Version 2.0.\n" + base[:700], "Released under the MIT License.",
         "GNU General Public License", "mit\nLICENSE mit license", "<|endoftext|>x<|startoftext|>", "AΣ ΑΣ İ ½ 中文", prose(3, 6000),
@@ -256,7 +261,7 @@ def levenshtein(item, text):
 def test_decontamination(spark, docs, empty):
     item, far = prose(20, 30), prose(21, 30)
     typo = item[:40] + "Q" + item[41:90] + item[92:]
-    texts = [(100, f"ab {item} cd"), (101, item.upper().replace("É", "é")), (102, f"x\n{typo}  y"), (103, far[: len(far) // 2]), (104, None), (105, "")]
+    texts = [(100, f"ab {item} cd"), (101, shouted(item)), (102, f"x\n{typo}  y"), (103, far[: len(far) // 2]), (104, None), (105, "")]
     own = spark.createDataFrame(texts, "doc_id long, text string")
     items = spark.createDataFrame([(1, item), (2, far), (3, "short"), (4, None), (None, item)], "item_id long, text string")
 
