@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -45,6 +46,12 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
     return session
 
 
+@cache
+def _own_folder() -> str:
+    """One folder for this process; the session's own setting cannot be changed once it runs."""
+    return tempfile.mkdtemp(prefix="tallgrass-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the checkpoint folder the cluster names.
 
@@ -54,6 +61,5 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not shared:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tallgrass-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
