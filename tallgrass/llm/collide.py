@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +36,14 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated(
-    df: DataFrame, emit: Callable[[pa.RecordBatch], Entries], parts: int | None = None
+    df: DataFrame, emit: Callable[[pa.RecordBatch], Iterable[Entries]], parts: int | None = None
 ) -> DataFrame:
     """``(key, doc_id, place)`` for all entries of ``emit`` over ``df`` whose key occurs twice or more.
 
     Entries travel packed, a few arrays per batch and partition, so the shuffle moves 20 bytes an
-    entry and the JVM sees few rows. Before it, a batch settles keys it holds several times: those
+    entry and the JVM sees few rows. Before it, a block that ``emit`` gives settles keys it holds several times: those
     entries are known to repeat and go, spread over all partitions, straight to the result, and one
-    mark per key goes to the key's partition. A hot key thus costs its partition one entry a batch.
+    mark per key goes to the key's partition. A hot key thus costs its partition one entry a block.
     A partition holds its keys in memory; raise ``parts`` (by default
     ``spark.sql.shuffle.partitions``) with the data.
     """
@@ -51,8 +52,7 @@ def repeated(
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("places", pa.binary())])
         turn = 0
-        for batch in batches:
-            given = emit(batch)
+        for given in chain.from_iterable(map(emit, batches)):
             keys, docs, places = given
             if len(keys) == 0:
                 continue

@@ -19,14 +19,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrass.llm import arrays
-from tallgrass.llm.collide import repeated
+from tallgrass.llm.collide import Entries, repeated
 from tallgrass.llm.graph import components, keep
 
 BAND = 1.35  # upper size of a band over that of the band before
 LEADERS = 4  # orders by which a key's leader is chosen
 SKETCH = 8  # 64-bit words of the short sketch that is compared while pairs are formed
+LIGHT = 3  # a piece of at most so many bits is no key by itself
 
-_PROFILE = "doc_id long, n_shingles long, d1 long, d2 long, " + ", ".join(f"s{i} long" for i in range(SKETCH)) + ", sketch array<long>, keys array<long>"
+_PROFILE = "doc_id long, n_shingles long, d1 long, d2 long, " + ", ".join(f"s{i} long" for i in range(SKETCH)) + ", sketch array<long>"
 _ODD = np.uint64(0xA24BAED4963EE407)
 _U = np.uint64
 
@@ -50,10 +51,11 @@ def _parity(cell: np.ndarray, cells: int) -> np.ndarray:
 def _pieces(spread: np.ndarray, text: np.ndarray, band: np.ndarray, differ: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Join keys, with text numbers, of the sets in the given band each (-1: none).
 
-    A piece with no or one bit says little, so by itself it is no key. If a pair agrees in such
-    pieces only, say ``a`` of them, the other pieces hold at least one difference each and ``a - 1``
-    more in all; hence behind one of the ``a`` comes a piece with one difference at most. The key of a
-    light piece takes in the next piece, once as it is and once without each of its bits.
+    A piece of few bits agrees by chance in a share of all pairs that would make the candidates grow
+    with the square of the corpus, so by itself it is no key. If a pair agrees in such pieces only, say
+    ``a`` of them, the other pieces hold at least one difference each and ``a - 1`` more in all; hence
+    behind one of the ``a`` comes a piece with one difference at most. The key of a light piece takes in
+    the next piece, once as it is and once without each of its bits. This holds for any ``LIGHT``.
     """
     count = np.where(band >= 0, differ[band] + 1, 0)
     count[count == 1] = 0  # no difference allowed: such sets are equal and already joined
@@ -69,7 +71,7 @@ def _pieces(spread: np.ndarray, text: np.ndarray, band: np.ndarray, differ: np.n
     owner = np.repeat(np.arange(len(count)), count)
     index = np.arange(total) - (ends - count)[owner]
     place = arrays.mix((band[owner].astype(np.uint64) << _U(40)) + index.astype(np.uint64))
-    light = np.bitwise_count(piece) <= 1
+    light = np.bitwise_count(piece) <= LIGHT
     keys = [arrays.mix(arrays.mix(piece[~light] + _ODD) ^ place[~light])]
     texts = [owner[~light]]
     at = np.flatnonzero(light)
@@ -88,8 +90,7 @@ def _pieces(spread: np.ndarray, text: np.ndarray, band: np.ndarray, differ: np.n
 
 
 def profiles(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Set size, set digest, sketch and join keys of every text."""
-    tops, differ = _bands(percent)
+    """Set size, set digest and sketches of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,23 +112,37 @@ def profiles(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 width = 64 << np.ceil(np.log2(np.maximum(n * 2, 64) / 64)).astype(np.int64)  # bits: a power of two
                 begin = np.cumsum(width) - width
                 long = _parity(begin[text] + (arrays.mix(spread) & (width[text] - 1).astype(np.uint64)).astype(np.int64), int(width.sum()))
-                band = np.searchsorted(tops, n)
-                band[n == 0] = -1
-                below = np.where((band > 0) & (n <= tops[np.maximum(band, 1) - 1] * 100 // percent), band - 1, -1)
-                found = [_pieces(spread, text, b, differ) for b in (band, below)]
-                keys, owner = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-                order = np.argsort(owner, kind="stable")
                 yield pa.record_batch(
                     [ids.slice(first, rows), pa.array(n.astype(np.int64)), *map(pa.array, digests)]
                     + [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH)]
-                    + [arrays.list_array(long.view(np.int64), width // 64, pa.int64())]
-                    + [arrays.list_array(keys[order].view(np.int64), np.bincount(owner, minlength=rows), pa.int64())],
-                    names=["doc_id", "n_shingles", "d1", "d2", *(f"s{i}" for i in range(SKETCH)), "sketch", "keys"],
+                    + [arrays.list_array(long.view(np.int64), width // 64, pa.int64())],
+                    names=["doc_id", "n_shingles", "d1", "d2", *(f"s{i}" for i in range(SKETCH)), "sketch"],
                 )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _PROFILE)
 
 
+def _meetings(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``(key, node)`` for the join keys that two or more entries of ``docs(doc_id, text)`` have."""
+    tops, differ = _bands(percent)
+
+    def emit(batch: pa.RecordBatch) -> Iterator[Entries]:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for first, offsets, data in arrays.slices(batch.column(1)):
+            hashes, text = arrays.shingle_sets(data, offsets, size)
+            n = np.bincount(text, minlength=len(offsets) - 1)
+            spread = arrays.mix(hashes ^ _ODD)
+            band = np.searchsorted(tops, n)
+            band[n == 0] = -1
+            below = np.where((band > 0) & (n <= tops[np.maximum(band, 1) - 1] * 100 // percent), band - 1, -1)
+            found = [_pieces(spread, text, b, differ) for b in (band, below)]
+            keys, owner = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+            order = np.argsort(owner, kind="stable")
+            yield keys[order], ids[first + owner[order]], np.zeros(len(order), dtype=np.int64)
+
+    return repeated(docs, emit).select("key", F.col("doc_id").alias("node"))
+
+
 def _sets(docs: DataFrame, size: int) -> DataFrame:
     """The shingle hashes of every text as one array."""
 
@@ -248,17 +263,11 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = 5, percent: i
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     table = keep(spark, profiles(docs, size, percent), "profiles")
     known = table.where("doc_id is not null and n_shingles > 0")
-    first = known.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.min_by("keys", "doc_id").alias("keys"))
-
-    def emit(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        lists = batch.column(1)
-        lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        docs_ = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), lengths)
-        return lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), docs_, np.zeros(len(docs_), dtype=np.int64)
-
-    met = keep(spark, repeated(first.select("doc_id", "keys"), emit).select("key", F.col("doc_id").alias("node")), "met")
+    first = keep(spark, known.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "first")
+    own = docs.join(first.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text")
+    met = keep(spark, _meetings(own, size, percent), "met")
 
-    nodes = known.drop("keys", "d1", "d2").withColumnRenamed("doc_id", "node")
+    nodes = known.drop("d1", "d2").withColumnRenamed("doc_id", "node")
 
     def sets(wanted: DataFrame) -> DataFrame:
         own = docs.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
@@ -267,7 +276,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, size: int = 5, percent: i
     groups = link(spark, met, nodes.drop("sketch"), _near(percent), sets, percent, nodes.select("node", "n_shingles", "sketch"))
     return (
         table.select("doc_id", "n_shingles", "d1", "d2")
-        .join(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), ["d1", "d2"], "left")
+        .join(first, ["d1", "d2"], "left")
         .join(groups.withColumnRenamed("node", "rep"), "rep", "left")
         .select(
             "doc_id", "n_shingles",

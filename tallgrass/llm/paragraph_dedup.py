@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrass.llm import arrays
-from tallgrass.llm.collide import repeated
+from tallgrass.llm.collide import Entries, repeated
 from tallgrass.llm.graph import keep
 from tallgrass.llm.jaccard_join import link
 
@@ -129,10 +129,10 @@ def paragraph_dedup(spark: SparkSession, docs: DataFrame, least: int = 20) -> Da
     table = keep(spark, paragraphs(docs, least), "paragraphs")
     nodes = table.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"), F.min("bands").alias("bands"))
 
-    def emit(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def emit(batch: pa.RecordBatch) -> Iterator[Entries]:
         keys = batch.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
         owner = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)
-        return keys, owner, np.zeros(len(keys), dtype=np.int64)
+        yield keys, owner, np.zeros(len(keys), dtype=np.int64)
 
     met = keep(spark, repeated(nodes.select("node", "bands"), emit).select("key", F.col("doc_id").alias("node")), "met")
     facts = keep(spark, nodes.select("node", "doc_id", "n_shingles"), "nodes")

@@ -241,7 +241,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, least: int = 400, texts
     facts = keep(
         spark, docs.select("doc_id", "text_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha")), "facts"
     )
-    met = repeated(docs.select("text_id", "text"), lambda batch: _sample_names(batch, least), parts)
+    met = repeated(docs.select("text_id", "text"), lambda batch: [_sample_names(batch, least)], parts)
     known = met.groupBy(F.col("doc_id").alias("text_id")).agg(F.collect_list(F.col("place")).alias("known"))
     first = facts.groupBy("text_id").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
     chosen = known.join(first.select("text_id", "doc_id"), "text_id")
