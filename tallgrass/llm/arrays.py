@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE = 2 << 20  # bytes of text in work at once; one longer text is a slice of its own
+SLICE = 1 << 20  # bytes of text in work at once; one longer text is a slice of its own
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
