@@ -14,6 +14,14 @@ def keep(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return store(df, scratch_path(spark, label))
 
 
+def drop(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables made by ``keep`` when all that reads them has been written."""
+    for table in tables:
+        for file in table.inputFiles()[:1]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``links(a, b)``; a component is named by its smallest node.
 
@@ -42,7 +50,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        edges = keep(spark, small, "edges")
+        before, edges = edges, keep(spark, small, "edges")
+        drop(spark, before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
             break

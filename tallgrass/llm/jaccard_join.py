@@ -6,10 +6,17 @@ size. Two sets of at most ``h`` and ``h / t`` members with a Jaccard similarity
 in ``d = h (1 - t) / t`` members at most: cut into ``d + 1`` pieces of 64 bits, their sketches agree
 in one piece. Sets are put into bands by size, pieces are joined within a band, and what meets is
 verified.
+
+At a similarity of 0.8 such a piece has three or four members only, and unrelated sets agree in so
+small a piece often enough for candidates to grow with the square of the corpus. Bands whose pieces
+are that small are cut anew: into fewer and larger pieces, by as many independent cuts as it takes, and
+only pieces with ``HEAVY`` bits or more are keys. No number of errors then forces an agreeing piece, but
+the number of pieces is such that a pair at the threshold has none with probability ``MISS`` at most.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 
@@ -20,12 +27,16 @@ from pyspark.sql import functions as F
 
 from tallgrass.llm import arrays
 from tallgrass.llm.collide import Entries, repeated
-from tallgrass.llm.graph import components, keep
+from tallgrass.llm.graph import components, drop, keep
 
 BAND = 1.35  # upper size of a band over that of the band before
 LEADERS = 4  # orders by which a key's leader is chosen
 SKETCH = 8  # 64-bit words of the short sketch that is compared while pairs are formed
 LIGHT = 3  # a piece of at most so many bits is no key by itself
+SMALL = 64  # sets up to this size always have as many pieces as the pigeonhole asks for
+MEMBERS = 5  # so do bands whose pieces then have so many members or more
+HEAVY = 6  # bits of a key of the other bands; one more for each hundredfold corpus
+MISS = 1e-9  # probability that a pair at the threshold shares none of those keys
 
 _PROFILE = "doc_id long, n_shingles long, d1 long, d2 long, " + ", ".join(f"s{i} long" for i in range(SKETCH)) + ", sketch array<long>"
 _ODD = np.uint64(0xA24BAED4963EE407)
@@ -42,6 +53,30 @@ def _bands(percent: int) -> tuple[np.ndarray, np.ndarray]:
     return top, top * (100 - percent) // percent
 
 
+def _agree(union: float, pieces: int, percent: int) -> float:
+    """Probability that a pair at the threshold has no difference in a piece and ``HEAVY`` bits or more."""
+    common, differ = union * percent / 100 / pieces, union * (100 - percent) / 100 / pieces
+    odd = (1 - math.exp(-common / 32)) / 2  # that a bit is set
+    heavy = sum(math.comb(64, k) * odd**k * (1 - odd) ** (64 - k) for k in range(HEAVY, 65))
+    return heavy * math.exp(-differ)
+
+
+@lru_cache(maxsize=8)
+def _cuts(percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of one cut, and pieces of all cuts, for each band; 0 for bands that follow the pigeonhole."""
+    tops, differ = _bands(percent)
+    cut, used = np.zeros(len(tops), dtype=np.int64), np.zeros(len(tops), dtype=np.int64)
+    for i in range(1, len(tops)):
+        least, most = int(tops[i - 1]) + 1, int(tops[i]) * 100 / percent  # unions of pairs that meet in the band
+        if tops[i] <= SMALL or least >= MEMBERS * (differ[i] + 1):
+            continue
+        tried = {max(2, round(least * percent / 1000 * x)) for x in range(1, 60)}
+        best = max(tried, key=lambda m: min(_agree(least, m, percent), _agree(most, m, percent)))
+        chance = min(_agree(least, best, percent), _agree(most, best, percent))
+        cut[i], used[i] = best, math.ceil(math.log(MISS) / math.log1p(-chance))
+    return cut, used
+
+
 def _parity(cell: np.ndarray, cells: int) -> np.ndarray:
     """64-bit words of the parities of how often each cell occurs; ``cells`` is a multiple of 64."""
     odd = (np.bincount(cell, minlength=cells) & 1).astype(np.uint8)
@@ -89,6 +124,35 @@ def _pieces(spread: np.ndarray, text: np.ndarray, band: np.ndarray, differ: np.n
     return np.concatenate(keys), np.concatenate(texts)
 
 
+def _heavy(spread: np.ndarray, text: np.ndarray, band: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Join keys, with text numbers, of the sets in bands with independent cuts: the pieces of ``HEAVY`` bits or more."""
+    cut, used = _cuts(percent)
+    size = np.where(band >= 0, cut[band], 0)
+    left = np.where(band >= 0, used[band], 0)
+    keys, texts = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)]
+    number = 0
+    while (left > 0).any():
+        live = left[text] > 0
+        spread, text = spread[live], text[live]
+        number += 1
+        width = np.minimum(size, left)
+        left = left - width
+        ends = np.cumsum(width)
+        start = ends - width
+        own = arrays.mix(spread + _U(number * int(_ODD) & (1 << 64) - 1))
+        at = ((own >> _U(6)) % size[text].astype(np.uint64)).astype(np.int64)
+        inside = at < width[text]
+        piece = _parity((start[text] + at)[inside] * 64 + (own[inside] & _U(63)).astype(np.int64), int(ends[-1]) * 64)
+        owner = np.repeat(np.arange(len(width)), width)
+        index = np.arange(len(piece)) - start[owner]
+        full = np.bitwise_count(piece) >= HEAVY
+        piece, owner, index = piece[full], owner[full], index[full]
+        place = arrays.mix((band[owner].astype(np.uint64) << _U(40)) + (_U(number) << _U(24)) + index.astype(np.uint64))
+        keys.append(arrays.mix(arrays.mix(piece + _ODD) ^ place))
+        texts.append(owner)
+    return np.concatenate(keys), np.concatenate(texts)
+
+
 def profiles(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Set size, set digest and sketches of every text."""
 
@@ -125,6 +189,7 @@ def profiles(docs: DataFrame, size: int, percent: int) -> DataFrame:
 def _meetings(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``(key, node)`` for the join keys that two or more entries of ``docs(doc_id, text)`` have."""
     tops, differ = _bands(percent)
+    strict = np.where(_cuts(percent)[1] > 0, 0, differ)  # bands with independent cuts have no pieces by the pigeonhole
 
     def emit(batch: pa.RecordBatch) -> Iterator[Entries]:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -135,7 +200,7 @@ def _meetings(docs: DataFrame, size: int, percent: int) -> DataFrame:
             band = np.searchsorted(tops, n)
             band[n == 0] = -1
             below = np.where((band > 0) & (n <= tops[np.maximum(band, 1) - 1] * 100 // percent), band - 1, -1)
-            found = [_pieces(spread, text, b, differ) for b in (band, below)]
+            found = [f for b in (band, below) for f in (_pieces(spread, text, b, strict), _heavy(spread, text, b, percent))]
             keys, owner = (np.concatenate([f[i] for f in found]) for i in (0, 1))
             order = np.argsort(owner, kind="stable")
             yield keys[order], ids[first + owner[order]], np.zeros(len(order), dtype=np.int64)
@@ -207,7 +272,9 @@ def _verify(spark: SparkSession, pairs: DataFrame, facts: DataFrame, near: Colum
         .withColumn("common", F.size(F.array_intersect("x", "y")))
         .where(100 * F.col("common") >= percent * (F.size("x") + F.size("y") - F.col("common")))
     )
-    return keep(spark, both.select("a", "b").distinct(), "similar")
+    similar = keep(spark, both.select("a", "b").distinct(), "similar")
+    drop(spark, left, members)
+    return similar
 
 
 def link(spark: SparkSession, met: DataFrame, facts: DataFrame, near: Column, sets: Sets, percent: int, sketches: DataFrame | None = None) -> DataFrame:
@@ -243,6 +310,7 @@ def link(spark: SparkSession, met: DataFrame, facts: DataFrame, near: Column, se
         .join(pairs, ["a", "b"], "left_anti")
     )
     more = _verify(spark, others, facts, near, sets, percent, sketches)
+    drop(spark, placed, mixed)
     return groups if more.isEmpty() else components(spark, similar.union(more))
 
 
