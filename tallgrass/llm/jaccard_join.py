@@ -30,7 +30,7 @@ from tallgrass.llm.collide import Entries, repeated
 from tallgrass.llm.graph import components, drop, keep
 
 BAND = 1.35  # upper size of a band over that of the band before
-LEADERS = 4  # orders by which a key's leader is chosen
+LEADERS = 2  # orders by which a key's leader is chosen
 SKETCH = 8  # 64-bit words of the short sketch that is compared while pairs are formed
 LIGHT = 3  # a piece of at most so many bits is no key by itself
 SMALL = 64  # sets up to this size always have as many pieces as the pigeonhole asks for
