@@ -102,6 +102,21 @@ def test_jaccard_join(spark, docs, empty, size, percent):
     assert jaccard_join.jaccard_join(spark, empty, size, percent).count() == 0
 
 
+def test_jaccard_join_of_longer_sets(spark):
+    """Sets over 64 at 0.8 take their keys from independent cuts; similarities lie on both sides of the threshold."""
+    texts = []
+    for seed, words in enumerate((70, 90, 130, 240, 500, 1500)):
+        base = prose(500 + seed, words).replace("\n", " ")
+        texts += [base] + [changed(base, every, shift) for every in (40, 44, 47, 50, 60) for shift in (0, 3, 11)]
+    sets = [shingle_set(t, 5) for t in texts]
+    linked = [(a, b) for a, s in enumerate(sets) for b, t in enumerate(sets[:a]) if 100 * len(s & t) >= 80 * len(s | t)]
+    where = groups(set(range(len(texts))), linked)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard_join.jaccard_join(spark, docs, 5, 80).collect()}
+    assert found == {i: where[i] for i in range(len(texts))}
+    assert jaccard_join._cuts(80)[1].any() and not jaccard_join._cuts(90)[1].any()
+
+
 def test_token_counts(docs, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
