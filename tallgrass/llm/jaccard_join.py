@@ -35,7 +35,7 @@ SKETCH = 8  # 64-bit words of the short sketch that is compared while pairs are
 LIGHT = 3  # a piece of at most so many bits is no key by itself
 SMALL = 64  # sets up to this size always have as many pieces as the pigeonhole asks for
 MEMBERS = 5  # so do bands whose pieces then have so many members or more
-HEAVY = 6  # bits of a key of the other bands; one more for each hundredfold corpus
+HEAVY = 6  # bits of a key of the other bands; one more for about each tenfold corpus (by estimate)
 MISS = 1e-9  # probability that a pair at the threshold shares none of those keys
 
 _PROFILE = "doc_id long, n_shingles long, d1 long, d2 long, " + ", ".join(f"s{i} long" for i in range(SKETCH)) + ", sketch array<long>"
