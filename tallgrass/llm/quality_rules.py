@@ -159,14 +159,17 @@ def quality_rules(
     guard_chars: int = 400,
     guard_words: int = 100,
     max_classes: float = 0.3,
-    max_common: float = 0.6,
+    max_common: float = 0.22,
+    common_noise: float = 0.6,
 ) -> DataFrame:
     """Counts, divergences and verdict for every row of ``docs(doc_id, text, lang, ...)``.
 
     ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeat_percent`` percent of
     the words in repeated windows of three. Otherwise a document is kept unless ``js_classes`` is over
     ``max_classes`` (documents of ``guard_chars`` characters or more) or ``js_common`` over
-    ``max_common`` (``guard_words`` words or more). References are means over all documents of a
+    ``max_common + common_noise / sqrt(n_words)`` (``guard_words`` words or more): even a clean text's
+    distance falls with the root of its length, while that of a text without common words stays near
+    the root of half their share (about 0.34 at a fifth). The limits are fitted on labels. References are means over all documents of a
     language that pass the base rules, each document counting once, so one hot source of long texts
     does not set them; documents without a language are a language of their own.
 
@@ -196,6 +199,6 @@ def quality_rules(
         F.coalesce(_distance(F.col("common"), F.col("ref_common")), F.lit(0.0)).alias("js_common"),
     )
     odd = ((F.col("n_chars") >= guard_chars) & (F.col("js_classes") > max_classes)) | (
-        (F.col("n_words") >= guard_words) & (F.col("js_common") > max_common)
+        (F.col("n_words") >= guard_words) & (F.col("js_common") > max_common + common_noise / F.sqrt("n_words"))
     )
     return judged.withColumn("kept", ~(F.col("base_failed") | odd)).drop("n_chars")

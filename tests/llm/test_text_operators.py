@@ -196,6 +196,26 @@ def test_divergence_rejects_symbols_and_keeps_prose(spark):
     assert kept.pop(99) is False and all(kept.values())
 
 
+def test_divergence_rejects_texts_without_the_common_words_of_their_language(spark):
+    common = {
+        "en": "the of and to in a is that for it was on are as with".split(),
+        "de": "der die und den von das mit sich des auf ist im dem nicht ein".split(),
+    }
+
+    def words(seed, lang, n, share=0.22):
+        rnd = random.Random(f"{lang} {seed}")
+        return [rnd.choice(common[lang]) if rnd.random() < share else "".join(rnd.choice("abdefgilmnorstu") for _ in range(rnd.randint(4, 9))) for _ in range(n)]
+
+    lengths = (100, 150, 300, 1200)
+    clean = [(f"clean {lang}", " ".join(words(i, lang, lengths[i % 4])), lang) for lang in common for i in range(40)]
+    junk = [("salad", " ".join(words(900 + n, "en", n, 0)), "en") for n in lengths]
+    junk += [("other language", " ".join(words(900 + n, "de", n)), "en") for n in lengths]
+    junk += [("blocks", " | ".join(words(910 + n, "en", n, 0)), "en") for n in lengths]
+    rows = [(i, t, lang) for i, (_, t, lang) in enumerate(clean + junk)]
+    kept = {r.doc_id: r.kept for r in quality_rules.quality_rules(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [name for i, (name, _, _) in enumerate(clean + junk) if kept[i]] == [name for name, _, _ in clean]
+
+
 def test_license_scan(spark, docs, empty):
     phrases = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
     want = []
