@@ -24,7 +24,7 @@ BASE = 1.5  # of the logarithm that levels are taken by
 LEVELS = 64
 PROBES = 4
 BITS_EACH = 12  # bits of the filter per insertion
-MAX_BITS = 1 << 29  # of the whole filter (64 MB), which is what is broadcast
+MAX_BITS = 1 << 29  # a filter of more bits (64 MB) is not broadcast: its parts stay on the executors and are asked
 HEAVY = 1 << 16  # at most so many words have a count of N / HEAVY or more
 PAIR_LEAST = 2  # smallest count of a word pair that the model keeps
 MIX = 0.4  # weight of the pair's share
@@ -32,6 +32,7 @@ MIX = 0.4  # weight of the pair's share
 _U = np.uint64
 END = np.uint64(0x5851F42D4C957F2D)
 START = np.uint64(0x14057B7EF767814F)
+VALUES = np.r_[0.0, 1.0, [(BASE ** (q - 1) + BASE**q) / 2 for q in range(2, LEVELS)]]  # counts that levels stand for
 _COUNTS = "part int, kind int, keys binary, counts binary"
 _WORDS, _PAIRS = 0, 1
 
@@ -94,10 +95,11 @@ class Filter:
         return arrays.mix(keys + _U((level * PROBES + probe + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) % size
 
     @classmethod
-    def segment(cls, keys: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
-        """One segment's bytes, ``most`` bits at most."""
+    def segment(cls, keys: np.ndarray, counts: np.ndarray, most: int | None = None) -> np.ndarray:
+        """One segment's bytes, ``most`` bits at most if given."""
         level = levels(counts)
-        size = int(min(max(64, BITS_EACH * int(level.sum())), most)) // 8 * 8
+        size = max(64, BITS_EACH * int(level.sum()))
+        size = min(size, most or size) // 8 * 8
         held = np.zeros(size, dtype=bool)
         for at in range(1, int(level.max()) + 1):
             here = keys[level >= at]
@@ -107,6 +109,10 @@ class Filter:
 
     def count(self, keys: np.ndarray) -> np.ndarray:
         """Count that the highest level found stands for; 0 without one."""
+        return VALUES[self.level(keys)]
+
+    def level(self, keys: np.ndarray) -> np.ndarray:
+        """The highest level found; 0 without one."""
         found = np.zeros(len(keys), dtype=np.int64)
         part = _part(keys, len(self.size))
         at = np.flatnonzero(self.size[part] > 0)
@@ -120,9 +126,7 @@ class Filter:
             if len(at) == 0:
                 break
             found[at] = level
-        value = np.r_[0.0, [(BASE ** (q - 1) + BASE**q) / 2 for q in range(1, LEVELS)]]
-        value[1] = 1.0
-        return value[found]
+        return found
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -153,7 +157,7 @@ def _counts(docs: DataFrame, parts: int) -> DataFrame:
     return docs.mapInArrow(pack, _COUNTS)
 
 
-def _model(packed: DataFrame, parts: int, max_bits: int) -> DataFrame:
+def _model(packed: DataFrame, parts: int) -> DataFrame:
     """Per part: word counts, how many words and tokens, and the part's segment of the filter."""
     schema = "part int, keys binary, counts binary, words long, tokens long, segment binary"
 
@@ -169,7 +173,7 @@ def _model(packed: DataFrame, parts: int, max_bits: int) -> DataFrame:
                 summed.append(_sum(*(np.concatenate([r[i] for r in rows]) if rows else np.empty(0, dtype=(np.uint64, np.int64)[i]) for i in (0, 1))))
             (words, count), (pairs, twice) = summed
             often = twice >= PAIR_LEAST
-            segment = Filter.segment(np.r_[words, pairs[often]], np.r_[count, twice[often]], max_bits // parts) if len(words) or often.any() else np.empty(0, np.uint8)
+            segment = Filter.segment(np.r_[words, pairs[often]], np.r_[count, twice[often]]) if len(words) or often.any() else np.empty(0, np.uint8)
             yield pa.record_batch(
                 [pa.array([part], pa.int32()), pa.array([words.tobytes()], pa.binary()), pa.array([count.tobytes()], pa.binary()),
                  pa.array([len(words)], pa.int64()), pa.array([int(count.sum())], pa.int64()), pa.array([segment.tobytes()], pa.binary())],
@@ -196,8 +200,37 @@ def _heavy(model: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 _SCORED = "doc_id long, n_tokens long, n_known long, logs double, score double"
-_ASKED = "part int, kind int, slice long, a binary, b binary, c binary, d binary, e binary, f binary"
-_TABLE, _ASK, _BASE, _SUMS = range(4)  # word counts; words to look up; what a slice knows itself; what it is told
+_ASKED = "part int, kind int, slice long, a binary, b binary, c binary, d binary, e binary, f binary, g binary"
+# word counts; words to look up; what a slice knows itself; what it is told; n-grams to look up in the filter; their counts
+_TABLE, _ASK, _BASE, _SUMS, _PROBE, _FOUND = range(6)
+
+
+def _scores(value: np.ndarray, n: np.ndarray, back: np.ndarray, start: int, size: int) -> np.ndarray:
+    """Score of each text of a slice by the filter's counts ``value`` of its words, then of its pairs.
+
+    ``n`` tokens a text, ``back`` the word of each token, ``start`` that of the start; pairs in the order of ``_numbered``.
+    """
+    words, which, _ = _numbered(n, back, start)
+    about = value[: words]
+    one = (about[back] + 1) / size
+    base = about[_prior(n, back, start)]
+    share = np.divide(value[words:][which], base, out=np.zeros(len(base)), where=base > 0)
+    log = np.log10(np.where(base > 0, MIX * np.minimum(share, 1.0) + (1 - MIX) * one, one))
+    return np.bincount(np.repeat(np.arange(len(n)), n), weights=log, minlength=len(n))
+
+
+def _prior(n: np.ndarray, back: np.ndarray, start: int) -> np.ndarray:
+    """The word before each token."""
+    prior = np.r_[start, back[:-1]]
+    prior[np.cumsum(n) - n] = start
+    return prior
+
+
+def _numbered(n: np.ndarray, back: np.ndarray, start: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """How many words a slice has, its pair of each token by number, and the first token of each pair."""
+    words = int(max(back.max(), start)) + 1
+    _, first, which = np.unique(_prior(n, back, start) * words + back, return_index=True, return_inverse=True)
+    return words, which, first
 
 
 def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -206,10 +239,12 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
     Training texts are those whose CRC-32 of ``doc_id`` as text leaves a remainder other than 2 by 7.
     ``base_score`` is the add-one word model with exact counts, ``score`` the filter's model. The
     counts, over all training texts, are gathered packed by part and never leave the executors. What
-    is broadcast is bounded: the filter has ``max_bits`` bits at most (beyond about ``max_bits / 12``
-    insertions its rate of false levels rises from 1 in 200), and the exact counts sent along are those
-    of the at most ``HEAVY`` words that each make up ``1 / HEAVY`` of all tokens. Rarer words meet their
-    exact counts in a shuffle by word, in which no word is hot.
+    is broadcast is bounded: the exact counts sent along are those of the at most ``HEAVY`` words that
+    each make up ``1 / HEAVY`` of all tokens, and the filter only while it has ``max_bits`` bits at most.
+    Rarer words meet their exact counts in a shuffle by word, in which no word is hot. The filter grows
+    with the insertions (``BITS_EACH`` bits each); a larger one stays on the executors by part, and each
+    slice of texts asks the parts for its distinct words and pairs in the same shuffle. Both ways probe
+    the same bits and give the same scores.
 
     A null or empty text is its end token alone; a null ``doc_id`` counts as the empty text (it is a
     training text); repeated rows each count and each keep a row; other columns are ignored; empty in,
@@ -217,17 +252,19 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    model = keep(spark, _model(_counts(docs, parts), parts, max_bits), "counts")
-    size = model.agg(F.coalesce(F.sum("words"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+    model = keep(spark, _model(_counts(docs, parts), parts), "counts")
+    size = model.agg(F.coalesce(F.sum("words"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum(F.octet_length("segment")), F.lit(0))).first()
     distinct, total = int(size[0]), int(size[1])
     segments: list[np.ndarray | None] = [None] * parts
-    for row in model.select("part", "segment").toLocalIterator():
-        segments[row[0]] = np.frombuffer(row[1], dtype=np.uint8)
+    shared = 8 * int(size[2]) <= max_bits
+    if shared:
+        for row in model.select("part", "segment").toLocalIterator():
+            segments[row[0]] = np.frombuffer(row[1], dtype=np.uint8)
     filter_ = spark.sparkContext.broadcast(Filter(segments))
     del segments
     heavy = spark.sparkContext.broadcast(_heavy(model, max(1, -(-total // HEAVY))))
     floor = np.log10(total + distinct + 1)
-    schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("slice", pa.int64()), *((c, pa.binary()) for c in "abcdef")])
+    schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("slice", pa.int64()), *((c, pa.binary()) for c in "abcdefg")])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Score what needs no shuffle, and ask the parts for the counts of rarer words."""
@@ -239,18 +276,10 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
                 null = ids.is_null().to_numpy(zero_copy_only=False)
                 ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
                 tokens, text = _tokens(data, offsets)
-                pairs, before = _pairs(tokens, text)
                 word, back = np.unique(np.r_[tokens, START], return_inverse=True)
-                about = lm.count(word)
-                start, back = back[-1], back[:-1]
-                prior = np.r_[start, back[:-1]]
-                prior[before == START] = start
-                one = (about[back] + 1) / (total + distinct + 1)
-                base = about[prior]
-                share = np.divide(lm.count(pairs), base, out=np.zeros(len(base)), where=base > 0)
-                log = np.log10(np.where(base > 0, MIX * np.minimum(share, 1.0) + (1 - MIX) * one, one))
-                score = np.bincount(text, weights=log, minlength=rows)
+                start, back = int(back[-1]), back[:-1]
                 n = np.bincount(text, minlength=rows)
+                grams = np.r_[word, _pairs(tokens, text)[0][_numbered(n, back, start)[2]]]
                 at = np.minimum(np.searchsorted(often, word), max(len(often) - 1, 0))
                 known = (often[at] == word) if len(often) else np.zeros(len(word), dtype=bool)
                 c = np.where(known, count[at], 0) if len(often) else np.zeros(len(word))
@@ -258,10 +287,18 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
                 sure = np.bincount(text, weights=known[back], minlength=rows).astype(np.int64)
                 # named by its content, so that a task run again gives the same name
                 name = int(np.bitwise_xor.reduce(arrays.mix(ids.view(np.uint64) + arrays.mix(np.cumsum(n).astype(np.uint64))))) ^ zlib.crc32(data) << 20
-                asked = [{
+                own = {
                     "part": name % parts, "kind": _BASE, "slice": name >> 1, "a": ids.tobytes(), "b": null.tobytes(), "c": n.astype(np.int64).tobytes(),
-                    "d": sure.tobytes(), "e": logs.tobytes(), "f": score.tobytes(),
-                }]
+                    "d": sure.tobytes(), "e": logs.tobytes(),
+                }
+                asked = [own]
+                if shared:
+                    own["f"] = _scores(lm.count(grams), n, back, start, total + distinct + 1).tobytes()
+                else:
+                    own["f"] = np.r_[start, back].astype(np.uint32).tobytes()
+                    own["g"] = _part(grams, parts).astype(np.uint32).tobytes()
+                    for part, places in _split(grams, parts):
+                        asked.append({"part": part, "kind": _PROBE, "slice": name >> 1, "a": grams[places].tobytes(), "e": np.int64(name % parts).tobytes()})
                 rare = ~known[back]
                 if rare.any():  # distinct (word, text) with how often
                     pair, times = np.unique(back[rare] * rows + text[rare], return_counts=True)
@@ -278,6 +315,7 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
         """Add up the logs of the rarer words of every text by the part's counts, one row per question."""
         waiting: list[dict] = []
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        segments: list[np.ndarray | None] = [None] * parts
         for batch in batches:
             own = batch.column(1).to_numpy(zero_copy_only=False) == _BASE
             if own.any():
@@ -285,11 +323,18 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
             for row in batch.filter(pa.array(~own)).to_pylist():
                 if row["kind"] == _TABLE:
                     held.append((np.frombuffer(row["a"], np.uint64), np.frombuffer(row["b"], np.int64)))
+                    if row["c"] is not None:
+                        segments[row["part"]] = np.frombuffer(row["c"], np.uint8)
                 else:
                     waiting.append(row)
         keys, counts = _sum(*(np.concatenate([h[i] for h in held]) if held else np.empty(0, dtype=(np.uint64, np.int64)[i]) for i in (0, 1)))
+        lm = Filter(segments)
         for row in waiting:
             asked = np.frombuffer(row["a"], np.uint64)
+            if row["kind"] == _PROBE:
+                found = {"part": int(np.frombuffer(row["e"], np.int64)[0]), "kind": _FOUND, "slice": row["slice"], "a": lm.level(asked).astype(np.uint8).tobytes(), "e": np.int64(row["part"]).tobytes()}
+                yield pa.RecordBatch.from_pylist([found], schema=schema)
+                continue
             which, owner, times = (np.frombuffer(row[x], np.uint32).astype(np.int64) for x in "bcd")
             c = np.zeros(len(asked), dtype=np.int64)
             if len(keys):
@@ -305,9 +350,13 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
         """Put the sums of each slice together."""
         bases: dict[int, list[dict]] = {}
         sums: dict[int, list[dict]] = {}
+        found: dict[int, dict[int, bytes]] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                (bases if row["kind"] == _BASE else sums).setdefault(row["slice"], []).append(row)
+                if row["kind"] == _FOUND:
+                    found.setdefault(row["slice"], {})[int(np.frombuffer(row["e"], np.int64)[0])] = row["a"]
+                else:
+                    (bases if row["kind"] == _BASE else sums).setdefault(row["slice"], []).append(row)
         for name, rows in bases.items():
             ids = np.frombuffer(rows[0]["a"], np.int64)
             logs, known = np.zeros(len(ids)), np.zeros(len(ids), dtype=np.int64)
@@ -315,16 +364,26 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
                 at = np.frombuffer(told["a"], np.int64)
                 logs[at] += np.frombuffer(told["b"], np.float64)
                 known[at] += np.frombuffer(told["c"], np.int64)
+            if shared:
+                score = np.frombuffer(rows[0]["f"], np.float64)
+            else:
+                told = found.pop(name)
+                where = np.argsort(np.frombuffer(rows[0]["g"], np.uint32), kind="stable")
+                value = np.empty(len(where))
+                value[where] = VALUES[np.frombuffer(b"".join(told[part] for part in sorted(told)), np.uint8)]
+                back = np.frombuffer(rows[0]["f"], np.uint32).astype(np.int64)
+                score = _scores(value, np.frombuffer(rows[0]["c"], np.int64), back[1:], int(back[0]), total + distinct + 1)
             for row in rows:  # slices of the same content share a name, and are told the same
                 yield pa.record_batch(
                     [pa.array(np.frombuffer(row["a"], np.int64), mask=np.frombuffer(row["b"], bool)), pa.array(np.frombuffer(row["c"], np.int64)),
                      pa.array(np.frombuffer(row["d"], np.int64) + known // len(rows)), pa.array(np.frombuffer(row["e"], np.float64) + logs / len(rows)),
-                     pa.array(np.frombuffer(row["f"], np.float64))],
+                     pa.array(score)],
                     names=["doc_id", "n_tokens", "n_known", "logs", "score"],
                 )
 
-    empty = [F.lit(None).cast("binary").alias(c) for c in "cdef"]
-    tables = model.select("part", F.lit(_TABLE).alias("kind"), F.lit(0).cast("long").alias("slice"), F.col("keys").alias("a"), F.col("counts").alias("b"), *empty)
+    empty = [F.lit(None).cast("binary").alias(c) for c in "defg"]
+    segment = F.lit(None).cast("binary") if shared else F.col("segment")
+    tables = model.select("part", F.lit(_TABLE).alias("kind"), F.lit(0).cast("long").alias("slice"), F.col("keys").alias("a"), F.col("counts").alias("b"), segment.alias("c"), *empty)
     asked = docs.mapInArrow(ask, _ASKED).union(tables).repartitionById(parts, F.col("part")).mapInArrow(answer, _ASKED)
     scored = asked.repartitionById(parts, F.col("part")).mapInArrow(settle, _SCORED)
     return scored.select(

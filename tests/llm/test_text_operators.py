@@ -273,6 +273,12 @@ def test_lm_score(spark, docs, empty):
     assert lm_score.lm_score(spark, empty).count() == 0
 
 
+def test_lm_score_of_a_filter_too_large_to_broadcast(spark, docs):
+    """The filter is whole, whatever may be broadcast, and gives the same scores from the executors."""
+    want, got = (sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in df.collect()) for df in (lm_score.lm_score(spark, docs), lm_score.lm_score(spark, docs, max_bits=512)))
+    assert got == want
+
+
 def test_filter_gives_back_quantised_counts():
     keys = np.random.default_rng(1).integers(0, 1 << 63, 20_000, dtype=np.uint64)
     counts = np.random.default_rng(2).integers(1, 500, 20_000)
