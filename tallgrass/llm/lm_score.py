@@ -26,7 +26,6 @@ PROBES = 4
 BITS_EACH = 12  # bits of the filter per insertion
 MAX_BITS = 1 << 29  # a filter of more bits (64 MB) is not broadcast: its parts stay on the executors and are asked
 HEAVY = 1 << 16  # at most so many words have a count of N / HEAVY or more
-PAIR_LEAST = 2  # smallest count of a word pair that the model keeps
 MIX = 0.4  # weight of the pair's share
 
 _U = np.uint64
@@ -77,7 +76,7 @@ def _split(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
     part = _part(keys, parts)
     order = np.argsort(part, kind="stable")
     starts = np.flatnonzero(np.r_[True, part[order][1:] != part[order][:-1]]) if len(keys) else order
-    for a, b in zip(starts, np.r_[starts[1:], len(order)], strict=True):
+    for a, b in zip(starts, np.r_[starts[1:], len(order)][: len(starts)], strict=True):
         yield int(part[order[a]]), order[a:b]
 
 
@@ -171,9 +170,8 @@ def _model(packed: DataFrame, parts: int) -> DataFrame:
             for kind in (_WORDS, _PAIRS):
                 rows = held.pop((part, kind), [])
                 summed.append(_sum(*(np.concatenate([r[i] for r in rows]) if rows else np.empty(0, dtype=(np.uint64, np.int64)[i]) for i in (0, 1))))
-            (words, count), (pairs, twice) = summed
-            often = twice >= PAIR_LEAST
-            segment = Filter.segment(np.r_[words, pairs[often]], np.r_[count, twice[often]]) if len(words) or often.any() else np.empty(0, np.uint8)
+            (words, count), (pairs, times) = summed
+            segment = Filter.segment(np.r_[words, pairs], np.r_[count, times]) if len(words) or len(pairs) else np.empty(0, np.uint8)
             yield pa.record_batch(
                 [pa.array([part], pa.int32()), pa.array([words.tobytes()], pa.binary()), pa.array([count.tobytes()], pa.binary()),
                  pa.array([len(words)], pa.int64()), pa.array([int(count.sum())], pa.int64()), pa.array([segment.tobytes()], pa.binary())],

@@ -279,6 +279,17 @@ def test_lm_score_of_a_filter_too_large_to_broadcast(spark, docs):
     assert got == want
 
 
+def test_lm_score_knows_pairs_seen_once(spark):
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(40)]
+    words = [f"w{i}" for i in range(300)]
+    learnt, back = held.index(False), held.index(True)
+    texts = [(learnt, " ".join(words)), (back, " ".join(reversed(words)))]
+    got = {r.doc_id: r.score for r in lm_score.lm_score(spark, spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    unseen = math.log10(0.6 * 2 / 603)  # each of 301 distinct tokens once; the first has none before it
+    assert got[learnt] > 300 * math.log10(0.4) + 2 * unseen  # every pair stands once after a word that stands once
+    assert got[back] < 270 * unseen  # pairs never seen, but for false levels
+
+
 def test_filter_gives_back_quantised_counts():
     keys = np.random.default_rng(1).integers(0, 1 << 63, 20_000, dtype=np.uint64)
     counts = np.random.default_rng(2).integers(1, 500, 20_000)
