@@ -35,14 +35,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays; a row without id stays."""
-    linked = jaccard_join.jaccard_join(spark, docs.select("doc_id", "text"))
-    gone = linked.where("doc_id <> component_id").select(F.col("doc_id").alias(ROW)).distinct()
-    left = docs.join(gone, docs["doc_id"] == gone[ROW], "left_anti")
-    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    """Of each group of near copies one row stays, that of the smallest id; rows without an id come last."""
+    rows = docs.groupBy(_row().alias(ROW)).agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"))
+    linked = jaccard_join.jaccard_join(spark, _named(docs, "text")).where("n_shingles > 0")  # blank texts are no copies
+    linked = linked.select(F.col("doc_id").alias(ROW), "component_id").distinct().join(rows, ROW)
+    linked = keep(spark, linked, "linked")
+    head = F.struct(F.col("id").isNull(), "id", ROW)
+    heads = linked.groupBy("component_id").agg(F.min(head)[ROW].alias("head")).join(linked, "component_id")
+    gone = heads.where(F.col("head") != F.col(ROW)).select(F.col(ROW).alias("doc_id"))
+    left = _without(docs, gone)
+    again = heads.where((F.col("head") == F.col(ROW)) & (F.col("copies") > 1)).select(F.col(ROW).alias("doc_id"))
     if again.isEmpty():
         return left
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).union(left.where("doc_id is null"))
+    once = left.join(again.select(F.col("doc_id").alias(ROW)), _row() == F.col(ROW), "left_semi").dropDuplicates(["doc_id", "text"])
+    return _without(left, again).union(once)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -346,3 +346,12 @@ def test_pipeline_stages_on_awkward_rows(spark, docs, empty, tmp_path):
     near = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, docs, str(tmp_path))
     kept = [r.doc_id for r in near.where(F.col("doc_id").isin(0, 1, 2, 3, 5, 12, 13)).collect()]
     assert sorted(kept) == [0, 12]
+
+
+def test_near_duplicates_judges_rows_that_share_an_id_or_have_none(spark, tmp_path):
+    base, alone, other, third = prose(40, 200), prose(41, 200), prose(42, 200), prose(43, 200)
+    texts = [(1, base), (2, base), (2, alone), (3, other), (3, third), (None, base), (None, third), (None, prose(44, 90)), (None, prose(44, 90)), (4, base), (4, ""), (4, ""), (5, None)]
+    own = spark.createDataFrame(texts, "doc_id long, text string")
+    left = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, own, str(tmp_path))
+    want = [(1, base), (2, alone), (3, other), (3, third), (None, prose(44, 90)), (4, ""), (4, ""), (5, None)]
+    assert counted((r.doc_id, r.text) for r in left.collect()) == counted(want)
