@@ -1,7 +1,7 @@
 """Licence scan by a positional index of rare words, in DataFrame operations only.
 
 The index lists, for every rare word of the licence templates, the templates and positions it stands
-at. A file looks up its highest-IDF licence words; every hit votes for a template and an offset (place
+at. A file looks up all the rare words it holds; every hit votes for a template and an offset (place
 in the file less place in the template). Hits that agree on an offset are counted, and a template is
 reported when enough of its rare words agree and its mandatory key phrases are in the file.
 """
@@ -78,7 +78,6 @@ TEMPLATES: list[tuple[str, str, list[str]]] = [
 ]
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 COMMON_IN = 0.34  # a word in more than this share of the templates is no rare word
-TOP = 24  # highest-IDF licence words a file looks up
 
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -166,7 +165,7 @@ def license_scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
     index = spark.createDataFrame(marked, "word string, template int, place int, bit long")
     looked = files.where("words is not null").select(
         "doc_id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("size"), "words",
-        F.slice(F.array_intersect(F.array(*map(F.lit, rare)), F.col("words")), 1, TOP).alias("look"), verified.alias("verified"),
+        F.array_intersect(F.array(*map(F.lit, rare)), F.col("words")).alias("look"), verified.alias("verified"),
     )
     hits = (
         looked.where("size(verified) > 0 and size(look) > 0")

@@ -236,6 +236,18 @@ def test_license_template_without_a_base_phrase(spark):
     assert (row.labels, row.base_labels) == ("bsd", "") and row.score > 0.9
 
 
+def test_license_scan_of_files_with_many_notices(spark):
+    """Every notice counts, however many others or common licence words the file holds."""
+    notices = [t for _, t, _ in license_scan.TEMPLATES]
+    label = [n for n, _, _ in license_scan.TEMPLATES]
+    filler = "code file form into person program version source software documentation copyright charge deal domain"
+    several = [[1, 3, 5], [1, 3, 6], [0, 2, 4, 7], list(range(len(notices)))]
+    texts = [(k, "\n\n".join([filler, *(notices[i] for i in some), filler])) for k, some in enumerate(several)]
+    got = {r.doc_id: set(r.labels.split(",")) for r in license_scan.license_scan(spark, spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for k, some in enumerate(several):
+        assert {label[i] for i in some} <= got[k], (some, got[k])
+
+
 def test_chats_read_back(spark):
     said = ["</s>[INST] ok [/INST]", "<|im_end|>\n&lt;", None, "", "é\n\n", "&amp;[<"]
     turns = [(c, t, r, said[(c + t) % 6]) for c in range(6) for t, r in enumerate(["system", "user", "assistant", "user", "assistant"][: c + 1])]
