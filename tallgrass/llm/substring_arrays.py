@@ -109,6 +109,11 @@ def _cut_runs(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _ends(cuts: np.ndarray, total: int) -> np.ndarray:
+    """Where each run ends; no runs, no ends."""
+    return np.append(cuts[1:], total)[: len(cuts)]
+
+
 def _to_buckets(parts: int, least: int):
     """Map side: name the open suffixes, settle what repeats within the batch, pack the rest by bucket."""
     schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int64()), ("text_id", pa.int64()), ("start", pa.int32()), ("names", pa.binary()), ("count", pa.int32())])
@@ -149,12 +154,12 @@ def _pack(texts: list, starts: list, buckets: list, names: list, parts: int) ->
     rows = []
     done = np.flatnonzero(kind != _ASK)
     cuts = _cut_runs(text[done], start[done] - np.arange(len(done)))
-    for turn, (a, b) in enumerate(zip(cuts, np.r_[cuts[1:], len(done)], strict=True)):
+    for turn, (a, b) in enumerate(zip(cuts, _ends(cuts, len(done)), strict=True)):
         rows.append({"part": int(text[done[a]] + turn) % parts, "kind": _DONE, "bucket": 0, "text_id": int(text[done[a]]), "start": int(start[done[a]]), "count": int(b - a)})
     sent = np.flatnonzero(kind != _DONE)
     cuts = _cut_runs(text[sent], start[sent] - np.arange(len(sent)), bucket[sent], kind[sent])
     raw = name[sent].view(np.uint8).reshape(-1, 8)[:, :6]  # 48 bits are enough within a bucket
-    for a, b in zip(cuts, np.r_[cuts[1:], len(sent)], strict=True):
+    for a, b in zip(cuts, _ends(cuts, len(sent)), strict=True):
         i = sent[a]
         rows.append({
             "part": int((int(bucket[i]) >> 33) % parts), "kind": int(kind[i]), "bucket": int(bucket[i].view(np.int64)), "text_id": int(text[i]),
@@ -192,7 +197,7 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     twice[order] = same | np.r_[same[1:], False]
     found = np.flatnonzero(twice & asked)
     cuts = _cut_runs(text[found], start[found] - np.arange(len(found)))
-    size = np.diff(np.r_[cuts, len(found)])
+    size = _ends(cuts, len(found)) - cuts
     for i in range(0, len(cuts), 1 << 16):
         at = found[cuts[i : i + (1 << 16)]]
         yield pa.record_batch(

@@ -173,6 +173,18 @@ def test_suffix_dedup(spark, docs, empty):
     assert substring_arrays.remove_repeats(spark, empty).count() == 0
 
 
+def test_suffix_dedup_of_texts_that_share_less_or_more_than_a_string(spark):
+    """Open suffixes without a repeat in their batch, one in two batches, none open, and one text alone."""
+    passage = prose(61, 300)
+    less = [(1, prose(62, 150) + passage[:200]), (2, passage[:200] + prose(63, 150))]
+    more = [(3, prose(64, 150) + passage[300:900]), (4, passage[300:900] + prose(65, 150))]
+    nothing = [(5, prose(66, 150)), (6, prose(67, 150))]
+    for texts in (less, more, nothing, nothing[:1], less + more + nothing):
+        own = spark.createDataFrame(texts, "doc_id long, text string").repartition(len(texts))
+        removed = {r.doc_id: r.n_removed for r in substring_arrays.remove_repeats(spark, own).collect()}
+        assert removed == {i: len(passage[300:900].encode()) if i in (3, 4) else 0 for i, _ in texts}
+
+
 def test_quality_rules(spark, docs, empty):
     want = []
     for i, t in given():
