@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrass.llm import bpe_codec, chat_format, decontaminate, jaccard_join, license_scan, lm_score, paragraph_dedup, quality_rules, substring_arrays, token_counts
+from tallgrass.llm import (
+    bpe_codec, chat_format, decontaminate, jaccard_join, license_scan, lm_score, paragraph_dedup, quality_rules,
+    substring_arrays, token_alignment, token_counts,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,11 +77,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokenizers(spark, table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_jaccard_join, op2_token_counts, op3_paragraph_dedup, op4_suffix_dedup, op5_quality_rules, op6_license_scan, op7_bpe_codec, op8_chat_format,
-        op9_lm_score, op10_decontaminate,
+        op9_lm_score, op10_decontaminate, op11_token_alignment,
     )
 }
 
