@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrass.llm import (
-    bpe_codec, chat_format, decontaminate, jaccard_join, license_scan, lm_score, paragraph_dedup, quality_rules,
-    substring_arrays, token_alignment, token_counts,
+    bpe_codec, chat_format, decontaminate, jaccard_join, license_scan, lm_score, page_text, paragraph_dedup,
+    quality_rules, substring_arrays, token_alignment, token_counts, whitening,
 )
 
 
@@ -81,11 +81,19 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align_tokenizers(spark, table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
 
 
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.page_texts(spark, table(spark, sf_dir, "pages"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark, table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_jaccard_join, op2_token_counts, op3_paragraph_dedup, op4_suffix_dedup, op5_quality_rules, op6_license_scan, op7_bpe_codec, op8_chat_format,
-        op9_lm_score, op10_decontaminate, op11_token_alignment,
+        op9_lm_score, op10_decontaminate, op11_token_alignment, op12_page_text, op13_whitening,
     )
 }
 
