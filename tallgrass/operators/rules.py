@@ -1,15 +1,16 @@
-"""Skip rules: extraction from questionnaire markup, and who could see which question."""
+"""Skip rules: extraction from questionnaire markup, exclusive pairs, and how faithful prompts are.
+
+Who could see which question is in :mod:`tallgrass.operators.flow`.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.functions.text import plain_words, strict_number
+from tallgrass.functions.text import plain_words
 from tallgrass.operators.dictionary import forward_fill
 
 # The markup forms.
@@ -63,9 +64,11 @@ def skip_mechanisms(lines: DataFrame) -> DataFrame:
     """Every skip mechanism on every markup line, with the question it belongs to.
 
     ``lines`` is ``line_id, line`` in file order. Option and jump lines belong to the last question
-    head above them.
+    head above them. With ``questionnaire, line_no`` as well, as :func:`tallgrass.sources.readers.read_markup`
+    gives them, a head counts in its own questionnaire only and both columns stay.
     """
     line = F.trim("line")
+    keys = [c for c in ("questionnaire", "line_no") if c in lines.columns]
     none = F.lit(None)
     one_per_line = [
         ("question_gate", "hide_question", none, none, _found(line, QUESTION_GATE)),
@@ -88,12 +91,14 @@ def skip_mechanisms(lines: DataFrame) -> DataFrame:
         each(XOR_GROUP, lambda group: _mechanism("xor_group", "exclude", none, group, none)),
         each(INLINE_TEXT, lambda text: _mechanism("inline_text", "wording", none, none, text)),
     ]
-    heads = lines.withColumn("question", _found(line, QUESTION_HEAD))
-    placed = forward_fill(heads, "line_id", ["question"])
+    head = _found(line, QUESTION_HEAD)
+    if keys:  # the empty name ends what the questionnaire before carries on
+        head = F.coalesce(head, F.when(F.col("line_no") == 1, ""))
+    placed = forward_fill(lines.withColumn("question", head), "line_id", ["question"])
     found = F.concat(F.array_compact(F.array(*singles)), *many)
     return placed.select(
-        "line_id", F.col("question_f").alias("question"), F.explode(found).alias("m")
-    ).select("line_id", "question", "m.*")
+        *keys, "line_id", F.nullif("question_f", F.lit("")).alias("question"), F.explode(found).alias("m")
+    ).select(*keys, "line_id", "question", "m.*")
 
 
 def skip_rules(lines: DataFrame) -> DataFrame:
@@ -171,102 +176,6 @@ def trigger_census(rules: DataFrame) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class Arm:
-    """One condition of a rule: the rule shows its question when every group has a true arm.
-
-    ``trigger`` and ``other`` are question ids. ``default`` is compared when the trigger has no answer.
-    """
-
-    question: str
-    group: int
-    trigger: str
-    operator: str
-    value: str | None = None
-    other: str | None = None
-    default: str | None = None
-
-
-def _compare(operator: str, left: Column, value: str | None) -> Column:
-    if operator == "equals":
-        return left == value
-    number = strict_number(left)
-    if operator == "greaterThan":
-        return number > float(value)
-    if operator == "greaterThanOrEqual":
-        return number >= float(value)
-    raise ValueError(f"unknown operator {operator!r}")
-
-
-def _arm_aggregate(arm: Arm) -> Column:
-    """Whether the arm is true for a participant, over the answers to trigger questions."""
-    answer = F.col("response_value_as_string")
-    on_trigger = F.col("question_concept_id") == arm.trigger
-    if arm.operator == "isDefined":
-        return F.coalesce(F.bool_or(on_trigger), F.lit(False))
-    if arm.operator == "isNotDefined":
-        return ~F.coalesce(F.bool_or(on_trigger), F.lit(False))
-    if arm.operator == "percentDiff":
-        before = F.max(F.when(on_trigger, strict_number(answer)))
-        after = F.max(F.when(F.col("question_concept_id") == arm.other, strict_number(answer)))
-        change = F.try_divide(before - after, before)
-        return F.coalesce(change >= float(arm.value), F.lit(False))
-    hit = F.coalesce(F.bool_or(F.when(on_trigger, _compare(arm.operator, answer, arm.value))), F.lit(False))
-    if arm.default is None:
-        return hit
-    answered = F.coalesce(F.bool_or(on_trigger), F.lit(False))
-    fallback = F.coalesce(_compare(arm.operator, F.lit(arm.default), arm.value), F.lit(False))
-    return hit | (~answered & fallback)
-
-
-def reachable(fact: DataFrame, participants: DataFrame, arms: Sequence[Arm]) -> DataFrame:
-    """``connect_id, question_concept_id, is_shown`` for every participant and gated question.
-
-    The rules are plan-time metadata and become boolean aggregates, so each participant's trigger
-    answers are read once and no row per participant, rule and answer is made. Where a trigger has
-    several answers, one that fits is enough. ``percentDiff`` is the drop from ``trigger`` to
-    ``other`` as a share of ``trigger``.
-    """
-    triggers = {a.trigger for a in arms} | {a.other for a in arms if a.other}
-    asked = fact.where(F.col("question_concept_id").isin(*sorted(triggers)))
-    questions = sorted({a.question for a in arms})
-    flags = {f"arm_{i}": a for i, a in enumerate(arms)}
-    answered = asked.groupBy("connect_id").agg(
-        *[_arm_aggregate(a).alias(name) for name, a in flags.items()]
-    )
-    # someone with no trigger answer at all: only defaults and "not defined" can hold
-    absent = {name: _without_answers(a) for name, a in flags.items()}
-
-    def shown(question: str) -> Column:
-        groups: dict[int, list[Column]] = {}
-        for name, a in flags.items():
-            if a.question == question:
-                groups.setdefault(a.group, []).append(F.coalesce(name, F.lit(absent[name])))
-        return reduce(
-            lambda x, y: x & y, [reduce(lambda x, y: x | y, g) for g in groups.values()]
-        )
-
-    rows = F.array(
-        *[
-            F.struct(F.lit(q).alias("question_concept_id"), shown(q).alias("is_shown"))
-            for q in questions
-        ]
-    )
-    everyone = participants.select("connect_id").distinct()
-    return everyone.join(answered, "connect_id", "left").select("connect_id", F.inline(rows))
-
-
-def _without_answers(arm: Arm) -> bool:
-    if arm.operator == "isNotDefined":
-        return True
-    if arm.default is None or arm.operator in ("isDefined", "percentDiff"):
-        return False
-    if arm.operator == "equals":
-        return arm.default == arm.value
-    difference = float(arm.default) - float(arm.value)
-    return difference > 0 if arm.operator == "greaterThan" else difference >= 0
-
-
 def xor_violations(fact: DataFrame, pair: Sequence[str]) -> DataFrame:
     """Participants who answered more than one question of an exclusive pair.
 

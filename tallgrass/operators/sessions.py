@@ -164,7 +164,8 @@ def missingness(
 
     Described in prose only; the first rule that holds decides: ``not_taken`` (no submitted session),
     ``not_offered`` (submitted before the question was added), ``not_shown`` (in ``hidden``, the
-    ``connect_id, question_concept_id`` pairs skip rules closed), ``answered``, ``not_answered``.
+    ``connect_id, secondary_source_concept_id, question_concept_id`` that skip rules closed), ``answered``,
+    ``not_answered``. A question that several surveys use is closed in the survey named only.
     ``sessions`` has one row per participant and survey, also for those who never started. Answers
     and closed questions are reduced to one row per participant and question, so one join finds both.
     """
@@ -178,7 +179,7 @@ def missingness(
         .select(*key, F.lit(True).alias("has_answer"), F.lit(False).alias("is_hidden"))
     )
     asked = questions.select("secondary_source_concept_id", "question_concept_id")
-    closed = hidden.join(asked, "question_concept_id").select(
+    closed = hidden.join(asked, ["secondary_source_concept_id", "question_concept_id"], "left_semi").select(
         *key, F.lit(False).alias("has_answer"), F.lit(True).alias("is_hidden")
     )
     known = answered.unionByName(closed).groupBy(*key).agg(

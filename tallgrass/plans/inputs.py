@@ -14,7 +14,9 @@ from pyspark.sql.types import StructType
 
 from tallgrass.functions.text import response_unique_id
 from tallgrass.operators.dictionary import Star, build_star, filled_rows
+from tallgrass.operators.flow import Flow, resolve, response_codes
 from tallgrass.operators.reshape import load_surveys, type_values
+from tallgrass.operators.rules import skip_rules
 from tallgrass.operators.sessions import Triad, with_session_facts
 from tallgrass.plans.session import scratch_path
 from tallgrass.schema import (
@@ -24,6 +26,7 @@ from tallgrass.schema import (
     STATUS_SUBMITTED,
     YES,
 )
+from tallgrass.sources.readers import read_markup
 from tallgrass.sources.writers import store
 
 SURVEY_A, SURVEY_B, SURVEY_C = "300000001", "300000002", "300000003"
@@ -826,6 +829,96 @@ def markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select((F.col("p_partkey") * 3 + F.col("offset")).alias("line_id"), "line")
 
 
+def questionnaire_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of questionnaires of different size made from the parts; each begins with a line that has no question above it."""
+    lines = markup(spark, sf_dir).withColumn("part", F.floor(F.col("line_id") / 3) % 6)
+    named = lines.select(
+        F.when(F.col("part") == 0, "first").when(F.col("part") < 3, "second").otherwise("third").alias("questionnaire"), "line_id", "line"
+    )
+    opening = named.select("questionnaire").distinct().select("questionnaire", F.lit(-1).alias("line_id"), F.lit("(1) Yes -> START").alias("line"))
+    return write_questionnaires(spark, named.unionByName(opening))
+
+
+def write_questionnaires(spark: SparkSession, lines: DataFrame) -> str:
+    """Write ``questionnaire, line_id, line`` as text, one folder each, parts in the order of lines."""
+    path = scratch_path(spark, "questionnaires")
+    ordered = lines.repartitionByRange("questionnaire", "line_id").sortWithinPartitions("questionnaire", "line_id")
+    ordered.select("questionnaire", "line").write.partitionBy("questionnaire").text(path)
+    return path
+
+
+# the questionnaires of the three modules, in markup
+QUESTIONNAIRES = {
+    "module_a": """[SEGMENT!] Which segment?
+(1) Automobile
+(2) Building -> NOTES
+(3) Furniture
+(4) Household -> PRICE
+(5) Machinery -> _CONTINUE
+[BALANCE?,displayif=isNotDefined(EDGE,edge)] What is the balance?
+|__|__|__|min=0 max=9999|
+< #NR -> DECAY >
+[EDGE?] Which text?
+[NOTES?,displayif=or(equals(SEGMENT,1),equals(SEGMENT,2))] Any notes?
+< -> OTHER >
+[ACCIDENT?] Lost any by accident?
+(0) No -> SEGMENT
+(1) Yes -> PRICE
+[DECAY?,displayif=and(equals(ACCIDENT,1),equals(SEGMENT,2))] Lost any by decay?
+(1) Yes -> LANG
+[OTHER?,displayif=or(equals(SEGMENT,3),and(equals(ACCIDENT,1),equals(DECAY,1)))] Lost any otherwise?
+[PRICE?,displayif=greaterThanOrEqual(percentDiff(WEIGHT,BALANCE),.05)] What was the price?
+[LANG?] Survey language
+[GHOST?,displayif=equals(NOBODY,1)] A question that no dictionary knows
+< -> NOWHERE >""",
+    "module_b": """[LANG?,displayif=greaterThan(OTHERBAL,0)] Survey language
+(2) Spanish -> END
+[OTHERBAL?] What is the other balance?""",
+    "module_c": """[HEIGHTFT?] Height, feet
+[HEIGHTIN?] Height, inches
+[WEIGHT?] Weight, pounds
+[EDU?] Highest education
+(1) School -> INCOME
+(2) College
+[MARITAL?,displayif=equals(SEGMENT,1)] Marital status
+(1) Never Married -> EVER
+(3) Married -> _CONTINUE
+[INCOME?] Household income
+(5) High -> NOWSMOKE
+< #NR -> LASTSMOKE >
+[EVER?] Ever smoked
+(0) No -> END
+[LIFETIME?,displayif=equals(EVER,1)] Cigarettes in lifetime
+(4) 100 or more -> LASTSMOKE
+[NOWSMOKE?,displayif=and(equals(EVER,1),or(equals(LIFETIME,3),equals(LIFETIME,4)))] Smoking now
+(1) Rarely -> END
+[LASTSMOKE?,displayif=greaterThanOrEqual(isDefined(WEIGHT,400),200)] Last time smoked""",
+}
+# survey, name in the questionnaire, question
+QUESTION_NAMES = [
+    (SURVEY_A, "SEGMENT", SEGMENT), (SURVEY_A, "BALANCE", BALANCE), (SURVEY_A, "NOTES", NOTE), (SURVEY_A, "EDGE", EDGE),
+    (SURVEY_A, "ACCIDENT", "110000001"), (SURVEY_A, "DECAY", "110000002"), (SURVEY_A, "OTHER", "110000003"),
+    (SURVEY_A, "PRICE", LOOP_QUESTION), (SURVEY_A, "LANG", LANGUAGE), (SURVEY_B, "LANG", LANGUAGE), (SURVEY_B, "OTHERBAL", OTHER_BALANCE),
+    (SURVEY_C, "HEIGHTFT", "340854069"), (SURVEY_C, "HEIGHTIN", "600462977"), (SURVEY_C, "WEIGHT", "746012894"), (SURVEY_C, "EDU", "367803647"),
+    (SURVEY_C, "MARITAL", "783167257"), (SURVEY_C, "INCOME", "759004335"), (SURVEY_C, "EVER", "712653855"), (SURVEY_C, "LIFETIME", "763164658"),
+    (SURVEY_C, "NOWSMOKE", "639684251"), (SURVEY_C, "LASTSMOKE", "798549704"),
+]
+
+
+def flow(spark: SparkSession, sf_dir: str) -> Flow:
+    """Rules and jumps of the three modules, read from their questionnaires."""
+    said = [(name, i, line) for name, text in QUESTIONNAIRES.items() for i, line in enumerate(text.split("\n"))]
+    path = write_questionnaires(spark, rows(spark, "questionnaire string, line_id bigint, line string", said))
+    lines = read_markup(spark, path)
+    surveys = rows(
+        spark, "questionnaire string, secondary_source_concept_id string",
+        [("module_a", SURVEY_A), ("module_b", SURVEY_B), ("module_c", SURVEY_C)],
+    )
+    names = rows(spark, "secondary_source_concept_id string, name string, question_concept_id string", QUESTION_NAMES)
+    labels = star(spark, sf_dir)
+    return resolve(lines, skip_rules(lines), surveys, names, response_codes(labels.question_response, labels.response))
+
+
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questionnaire prompts that repeat, decorate or change the dictionary's wording."""
     text = F.col("p_name")

@@ -439,27 +439,64 @@ FROM (SELECT CAST(c_custkey AS VARCHAR) AS connect_id, '300000001' AS secondary_
     ),
     "answers": """
 SELECT connect_id, question_concept_id, response_value_as_string AS v, response_value_as_number AS n FROM fact""",
-    "shown": f"""
-SELECT p.connect_id, g.question_concept_id, CASE g.question_concept_id
-    WHEN '100000003' THEN coalesce(a.seg, FALSE)
-    WHEN '110000002' THEN coalesce(a.acc, FALSE) AND coalesce(a.bal, FALSE)
-    WHEN '120000001' THEN coalesce(a.drop_share, FALSE)
-    WHEN '100000002' THEN NOT coalesce(a.edge, FALSE) OR coalesce(a.english, FALSE)
-    WHEN '784119588' THEN coalesce(a.note_yes, NOT coalesce(a.noted, FALSE)) END AS is_shown
-FROM people p CROSS JOIN (VALUES ('100000003'), ('110000002'), ('120000001'), ('100000002'), ('784119588'))
-  g(question_concept_id)
-LEFT JOIN (SELECT connect_id,
-    bool_or(question_concept_id = '100000001' AND v IN ('200000001', '200000002')) AS seg,
-    bool_or(question_concept_id = '110000001' AND v = '353358909') AS acc,
-    bool_or(question_concept_id = '100000002' AND {number('v')} >= 1000) AS bal,
-    bool_or(question_concept_id = '100000004') AS edge,
-    bool_or(question_concept_id = '784119588' AND v = '773342525') AS english,
-    bool_or(CASE WHEN question_concept_id = '100000003' THEN v = '' END) AS note_yes,
-    bool_or(question_concept_id = '100000003') AS noted,
-    (max(CASE WHEN question_concept_id = '746012894' THEN {number('v')} END)
-      - max(CASE WHEN question_concept_id = '100000002' THEN {number('v')} END))
-      / nullif(max(CASE WHEN question_concept_id = '746012894' THEN {number('v')} END), 0) >= 0.05 AS drop_share
-  FROM answers GROUP BY connect_id) a USING (connect_id)""",
+    "who": "SELECT DISTINCT connect_id, secondary_source_concept_id AS s FROM fact",
+    "told": f"""
+SELECT connect_id,
+  bool_or(k = 'a1' AND v = '200000001') AS seg1, bool_or(k = 'a1' AND v = '200000002') AS seg2,
+  bool_or(k = 'a1' AND v = '200000003') AS seg3, bool_or(k = 'a1' AND v = '200000004') AS seg4,
+  bool_or(k = 'a2') AS balance, max(CASE WHEN k = 'a2' THEN n END) AS balance_n, bool_or(k = 'a4') AS edge,
+  bool_or(k = 'acc' AND v = '{inputs.YES}') AS accident, bool_or(k = 'dec' AND v = '{inputs.YES}') AS decay,
+  bool_or(k = 'lang_b' AND v = '773342525') AS spanish_b, bool_or(k = 'b1' AND n > 0) AS other_balance,
+  max(CASE WHEN k = 'weight' THEN n END) AS weight_n, bool_or(k = 'weight') AS weight, bool_or(k = 'weight' AND n >= 200) AS heavy,
+  bool_or(k = 'edu' AND v = '210000001') AS school, bool_or(k = 'marital' AND v = '220000001') AS never_married,
+  bool_or(k = 'income') AS income, bool_or(k = 'income' AND v = '230000005') AS high_income,
+  bool_or(k = 'ever' AND v = '{inputs.NO}') AS never_smoked, bool_or(k = 'ever' AND v = '{inputs.YES}') AS ever,
+  bool_or(k = 'life' AND v = '486319890') AS life3, bool_or(k = 'life' AND v = '132232896') AS life4,
+  bool_or(k = 'now' AND v = '299561721') AS rarely
+FROM (SELECT connect_id, response_value_as_string AS v, {number('response_value_as_string')} AS n,
+    CASE secondary_source_concept_id || question_concept_id
+      WHEN '300000001100000001' THEN 'a1' WHEN '300000001100000002' THEN 'a2' WHEN '300000001100000004' THEN 'a4'
+      WHEN '300000001110000001' THEN 'acc' WHEN '300000001110000002' THEN 'dec' WHEN '300000002784119588' THEN 'lang_b'
+      WHEN '300000002100000011' THEN 'b1' WHEN '300000003746012894' THEN 'weight' WHEN '300000003367803647' THEN 'edu'
+      WHEN '300000003783167257' THEN 'marital' WHEN '300000003759004335' THEN 'income' WHEN '300000003712653855' THEN 'ever'
+      WHEN '300000003763164658' THEN 'life' WHEN '300000003639684251' THEN 'now' END AS k FROM fact) GROUP BY connect_id""",
+    "shown": """
+SELECT connect_id, s AS secondary_source_concept_id, g.q AS question_concept_id, CASE g.q
+    WHEN '100000002' THEN NOT edge WHEN '100000003' THEN seg1 OR seg2 WHEN '110000002' THEN accident AND seg2
+    WHEN '110000003' THEN seg3 OR (accident AND decay)
+    WHEN '120000001' THEN coalesce((weight_n - balance_n) / nullif(weight_n, 0) >= 0.05, FALSE)
+    WHEN '784119588' THEN other_balance WHEN '783167257' THEN seg1 WHEN '763164658' THEN ever
+    WHEN '639684251' THEN ever AND (life3 OR life4) WHEN '798549704' THEN heavy OR NOT weight END AS is_shown
+FROM who JOIN told USING (connect_id) JOIN (VALUES ('300000001', '100000002'), ('300000001', '100000003'), ('300000001', '110000002'),
+  ('300000001', '110000003'), ('300000001', '120000001'), ('300000002', '784119588'), ('300000003', '783167257'),
+  ('300000003', '763164658'), ('300000003', '639684251'), ('300000003', '798549704')) g(s2, q) ON g.s2 = who.s""",
+    "axis": """
+SELECT s, "at", q FROM (VALUES ('300000001', ['100000001', '100000002', '100000004', '100000003', '110000001', '110000002', '110000003',
+    '120000001', '784119588']), ('300000002', ['784119588', '100000011']), ('300000003', ['340854069', '600462977', '746012894',
+    '367803647', '783167257', '759004335', '712653855', '763164658', '639684251', '798549704'])) t(s, list),
+  LATERAL (SELECT unnest(list) AS q, unnest(range(1, len(list) + 1)) AS "at")""",
+    "leaps": """
+SELECT connect_id, s, "at", CASE s || ':' || "at"
+    WHEN '300000001:1' THEN (CASE WHEN seg2 THEN 4 WHEN seg4 THEN 8 END) WHEN '300000001:2' THEN (CASE WHEN NOT balance THEN 6 END)
+    WHEN '300000001:4' THEN 7 WHEN '300000001:5' THEN (CASE WHEN accident THEN 8 END) WHEN '300000001:6' THEN (CASE WHEN decay THEN 9 END)
+    WHEN '300000002:1' THEN (CASE WHEN spanish_b THEN 99 END) WHEN '300000003:4' THEN (CASE WHEN school THEN 6 END)
+    WHEN '300000003:5' THEN (CASE WHEN never_married THEN 7 END)
+    WHEN '300000003:6' THEN (CASE WHEN high_income THEN 9 WHEN NOT income THEN 10 END)
+    WHEN '300000003:7' THEN (CASE WHEN never_smoked THEN 99 END) WHEN '300000003:8' THEN (CASE WHEN life4 THEN 10 END)
+    WHEN '300000003:9' THEN (CASE WHEN rarely THEN 99 END) END AS target
+FROM who JOIN told USING (connect_id) JOIN axis USING (s)""",
+    "walk": """
+SELECT connect_id, s, CAST(1 AS BIGINT) AS "at" FROM who
+UNION ALL
+SELECT w.connect_id, w.s, CASE WHEN l.target IS NOT NULL AND coalesce(g.is_shown, TRUE) THEN l.target ELSE w."at" + 1 END
+FROM walk w JOIN axis a ON a.s = w.s AND a."at" = w."at"
+JOIN leaps l ON l.connect_id = w.connect_id AND l.s = w.s AND l."at" = w."at"
+LEFT JOIN shown g ON g.connect_id = w.connect_id AND g.secondary_source_concept_id = w.s AND g.question_concept_id = a.q""",
+    "walked": """
+SELECT who.connect_id, who.s AS secondary_source_concept_id, axis.q AS question_concept_id, walk."at" IS NOT NULL AS is_open,
+  walk."at" IS NOT NULL AND coalesce(g.is_shown, TRUE) AS is_shown
+FROM who JOIN axis ON axis.s = who.s LEFT JOIN walk ON walk.connect_id = who.connect_id AND walk.s = who.s AND walk."at" = axis."at"
+LEFT JOIN shown g ON g.connect_id = who.connect_id AND g.secondary_source_concept_id = who.s AND g.question_concept_id = axis.q""",
     "events_long": """
 SELECT CAST(user_id AS VARCHAR) AS connect_id, strftime(date_trunc('week', ts), '%Y-%m-%d') AS round_id,
   CASE event_type WHEN 'view' THEN 'collection' WHEN 'click' THEN 'kit' WHEN 'purchase' THEN 'incentive'
@@ -554,11 +591,11 @@ FROM (SELECT *, trim(regexp_replace(regexp_replace(lower(prompt), '<[^>]*>', ' '
 }
 
 
-def _needed(sql: str, seen: list[str]) -> None:
+def _needed(sql: str, seen: list[str], pending: tuple[str, ...] = ()) -> None:
     """Parts named in a statement, each after the parts it needs itself."""
     for name, text in PARTS.items():
-        if name not in seen and re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", _without_literals(sql)):
-            _needed(text, seen)
+        if name not in seen and name not in pending and re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", _without_literals(sql)):
+            _needed(text, seen, (*pending, name))
             if name not in seen:
                 seen.append(name)
 
@@ -572,4 +609,5 @@ def query(sql: str) -> str:
     seen: list[str] = []
     _needed(sql, seen)
     parts = ",\n".join(f"{name} AS ({PARTS[name].strip()})" for name in seen)
-    return f"WITH {parts}\n{sql.strip()}" if parts else sql.strip()
+    start = "WITH RECURSIVE" if "walk" in seen else "WITH"
+    return f"{start} {parts}\n{sql.strip()}" if parts else sql.strip()

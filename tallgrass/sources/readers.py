@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallgrass.plans.session import scratch_path
 from tallgrass.schema import DICTIONARY_POSITIONS, DICTIONARY_WIDTH
+from tallgrass.sources.writers import store
 
 
 def read_survey(
@@ -37,11 +39,45 @@ def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def number_in_file_order(scan: DataFrame, group: Column | None = None) -> DataFrame:
+    """Rows of a file scan with ``line_id``, their place over all files, and ``line_no``, their place in their group.
+
+    Files follow each other by name; ``group`` tells which files belong together (each file by itself if not given)
+    and is returned as ``source``. A task reads blocks of several files in an order that depends on their size, so a
+    running number of the scan says nothing. Each row's place inside its block is added to the rows in all blocks
+    before: counts per file and block, one row a block, are the only thing that is ordered as a whole. The scan is
+    stored once, since a second scan may be cut into other blocks.
+    """
+    spark = scan.sparkSession
+    own = F.col("_metadata.file_path") if group is None else group
+    held = store(
+        scan.select(
+            *scan.columns, own.alias("source"), F.col("_metadata.file_path").alias("__file"),
+            F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__at"),
+        ),
+        scratch_path(spark, "lines"),
+    )
+    blocks = held.groupBy("source", "__file", "__block").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    order = [F.col("__file"), F.col("__block")]
+    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select(
+        "source", "__file", "__block", "__first",
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
+        F.coalesce(F.sum("__n").over(within), F.lit(0)).alias("__within"),
+    )
+    place = F.col("__at") - F.col("__first") + 1
+    return held.join(starts, ["source", "__file", "__block"]).select(
+        "source", (F.col("__within") + place).alias("line_no"), (F.col("__before") + place).alias("line_id"), *scan.columns
+    )
+
+
 def read_flat_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """The positional dictionary file: header dropped, short rows padded, rows numbered in file order.
+    """The positional dictionary: headers dropped, short rows padded, rows numbered in file order.
 
-    The file is a spreadsheet with quoted line breaks, so one task reads it; ``rn`` follows file order.
-    Blank cells are kept as they are; use :func:`tallgrass.operators.dictionary.blanks_to_null`.
+    A file is a spreadsheet with quoted line breaks, so one task reads it; several files follow each other by name
+    and each has its own header. Blank cells are kept as they are; use
+    :func:`tallgrass.operators.dictionary.blanks_to_null`.
     """
     schema = T.StructType(
         [T.StructField(f"column{i:02d}", T.StringType()) for i in range(DICTIONARY_WIDTH)]
@@ -49,14 +85,14 @@ def read_flat_dictionary(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.csv(
         path, schema=schema, header=False, mode="PERMISSIVE", quote='"', escape='"', multiLine=True
     )
-    numbered = raw.withColumn("rn", F.monotonically_increasing_id())
     named = [F.col(f"column{i:02d}").alias(name) for i, name in DICTIONARY_POSITIONS.items()]
-    return numbered.where("rn > 0").select("rn", *named)
+    return number_in_file_order(raw).where("line_no > 1").select((F.col("line_id") - 1).alias("rn"), *named)
 
 
 def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
-    """The table-to-survey crosswalk with its line number."""
-    return read_text_csv(spark, path).withColumn("line", F.monotonically_increasing_id())
+    """The table-to-survey crosswalk with its line number, over one file or several."""
+    numbered = number_in_file_order(read_text_csv(spark, path))
+    return numbered.withColumn("line", F.col("line_id") - 1).drop("source", "line_no", "line_id")
 
 
 def crosswalk_first(crosswalk: DataFrame) -> DataFrame:
@@ -72,10 +108,11 @@ def crosswalk_first(crosswalk: DataFrame) -> DataFrame:
 
 
 def read_markup(spark: SparkSession, path: str) -> DataFrame:
-    """Questionnaire markup, one row per line, numbered in file order."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_name").alias("questionnaire"),
-        F.monotonically_increasing_id().alias("line_id"),
-        F.col("value").alias("line"),
-    )
-    return lines
+    """Questionnaire markup: ``questionnaire, line_no, line_id, line``, numbered in file order.
+
+    A questionnaire is a file, by its name, or all files of a ``questionnaire=...`` folder in order of their names. ``line_no`` starts at 1 in each; ``line_id`` runs on over all of them.
+    """
+    scan = spark.read.text(path)
+    folder = "questionnaire" in scan.columns
+    numbered = number_in_file_order(scan, F.col("questionnaire").cast("string") if folder else F.col("_metadata.file_name"))
+    return numbered.select(F.col("source").alias("questionnaire"), "line_no", "line_id", F.col("value").alias("line"))
