@@ -239,6 +239,33 @@ def pivot_wide(long: DataFrame, key: str, name: str, value: str, values: Sequenc
     return long.groupBy(key).pivot(name, list(values)).agg(F.min(value))
 
 
+def pivot_all(
+    long: DataFrame, codes: Sequence[str], key: str = "connect_id", name: str = "question_concept_id",
+    value: str = "answer", prefix: str = "q_", block: int = 64,
+) -> DataFrame:
+    """Long rows to one column per entry of ``codes``, however many; repeats keep the smallest value.
+
+    An aggregate per column makes plans of thousands of expressions. Here the rows are brought together by
+    ``key`` once; in that one exchange answers are reduced to one per question and then to a map per block of
+    columns, and a column is a look-up in the map of its block. Rows of other names give no column, their
+    participants stay. Pass the codes from the dictionary.
+    """
+    if not codes:
+        return long.select(key).distinct()
+    listed = ", ".join(f"('{code}', {i})" for i, code in enumerate(codes))
+    places = long.sparkSession.sql(f"SELECT * FROM VALUES {listed} AS t(__code, place)")
+    placed = long.join(places, F.col(name) == F.col("__code"), "left").select(key, F.col(value).alias("v"), "place")
+    least = placed.repartition(F.col(key)).groupBy(key, "place").agg(F.min("v").alias("v"))
+    blocks = range(0, len(codes), block)
+    in_block = F.floor(F.col("place") / block)
+    maps = [
+        F.map_from_entries(F.collect_list(F.when((in_block == n) & F.col("v").isNotNull(), F.struct("place", "v")))).alias(f"__{n}")
+        for n in range(len(blocks))
+    ]
+    columns = [f"`__{i // block}`[{i}] AS `{prefix}{code}`" for i, code in enumerate(codes)]
+    return least.groupBy(key).agg(*maps).selectExpr(f"`{key}`", *columns)
+
+
 def loop_rows(fact: DataFrame, parent: str, questions: dict[str, str]) -> DataFrame:
     """One row per participant and loop pass of a repeated block, one column per question.
 

@@ -6,6 +6,10 @@ parameters; none is offered as policy.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from itertools import product
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -162,6 +166,65 @@ def drop_identifiers(fact: DataFrame, scanned: DataFrame) -> DataFrame:
     return fact.join(found, "question_concept_id", "left_anti").select(*fact.columns)
 
 
+Hierarchies = Mapping[str, Sequence[Column]]  # attribute to its forms, finest first
+
+
+def _levels(people: DataFrame, hierarchies: Hierarchies) -> DataFrame:
+    """Every form of every attribute as text, ``<attribute>__<level>``; NULL is a value of its own, ``unknown``."""
+    return people.select(
+        *[
+            F.coalesce(form.cast("string"), F.lit("unknown")).alias(f"{name}__{level}")
+            for name, forms in hierarchies.items() for level, form in enumerate(forms)
+        ]
+    )
+
+
+def level_sizes(people: DataFrame, hierarchies: Hierarchies) -> DataFrame:
+    """For every choice of levels: ``<attribute>`` (its level), ``cells``, ``smallest`` and ``participants_below``.
+
+    ``people`` has one row per participant. All choices come from one pass: participants are counted by the
+    finest combination, and grouping sets add those counts up for every choice at once.
+    """
+    columns = [f"{name}__{level}" for name, forms in hierarchies.items() for level in range(len(forms))]
+    finest = _levels(people, hierarchies).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    choices = list(product(*[range(len(forms)) for forms in hierarchies.values()]))
+    sets = [[F.col(f"{name}__{level}") for name, level in zip(hierarchies, choice, strict=True)] for choice in choices]
+    cells = finest.groupingSets(sets, *columns).agg(F.sum("n").alias("n"), F.grouping_id().alias("gid"))
+    sizes = cells.groupBy("gid").agg(F.count(F.lit(1)).alias("cells"), F.min("n").alias("smallest"))
+
+    def gid(choice: Sequence[int]) -> int:
+        kept = {f"{name}__{level}" for name, level in zip(hierarchies, choice, strict=True)}
+        return sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in kept)
+
+    named = F.create_map(*[F.lit(x) for choice in choices for x in (gid(choice), ",".join(map(str, choice)))])
+    chosen = F.split(F.try_element_at(named, "gid"), ",")
+    return sizes.select(*[chosen[i].cast("int").alias(name) for i, name in enumerate(hierarchies)], "cells", "smallest")
+
+
+def finest_levels(people: DataFrame, hierarchies: Hierarchies, least: int) -> dict[str, int] | None:
+    """The finest choice of levels at which every combination has ``least`` participants, or None if there is none.
+
+    Finest is the smallest sum of levels; of equal sums the one that keeps the attributes named first finer.
+    """
+    names = list(hierarchies)
+    total = reduce(lambda a, b: a + b, [F.col(n) for n in names])
+    best = level_sizes(people, hierarchies).where(F.col("smallest") >= least).orderBy(total, *names).select(*names).first()
+    return None if best is None else best.asDict()
+
+
+def generalised_release(people: DataFrame, hierarchies: Hierarchies, least: int) -> DataFrame:
+    """Participants counted by their attributes, each generalised as far as every cell needs to hold ``least`` of them.
+
+    ``people`` has one row per participant; what is no attribute of ``hierarchies`` is dropped. Fewer than
+    ``least`` participants at the coarsest levels give an empty release.
+    """
+    levels = finest_levels(people, hierarchies, least)
+    chosen = levels or {name: len(forms) - 1 for name, forms in hierarchies.items()}
+    rows = _levels(people, hierarchies).select(*[F.col(f"{name}__{chosen[name]}").alias(name) for name in hierarchies])
+    counted = rows.groupBy(*hierarchies).agg(F.count(F.lit(1)).alias("participants"))
+    return counted if levels else counted.limit(0)
+
+
 def suppressed_counts(fact: DataFrame, least: int) -> DataFrame:
     """Participants per coded answer, with small cells hidden.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallgrass.functions.text import strict_number
@@ -227,9 +227,46 @@ def quantified_rate(fact: DataFrame, lookup: DataFrame) -> DataFrame:
     )
 
 
+def reconcile_rows(mart: DataFrame, expected: DataFrame) -> DataFrame:
+    """Rows that one side has more often: all columns, ``side`` and ``n``, the surplus; empty when the two agree.
+
+    Rows of the mart count as plus one, expected ones as minus one, in a single aggregate that adds them up
+    before anything is shuffled. NULL equals NULL.
+    """
+    columns = mart.columns
+    signed = mart.select("*", F.lit(1).alias("__sign")).union(expected.select(*columns, F.lit(-1).alias("__sign")))
+    surplus = signed.groupBy(*columns).agg(F.sum("__sign").alias("__n")).where("__n <> 0")
+    side = F.when(F.col("__n") > 0, "mart_only").otherwise("expected_only")
+    return surplus.select(*columns, side.alias("side"), F.abs("__n").alias("n"))
+
+
 def reconcile(mart: DataFrame, expected: DataFrame) -> DataFrame:
-    """Rows found on one side only, duplicates counted; empty when the two agree."""
-    shared = mart.columns
-    missing = expected.select(*shared).exceptAll(mart).withColumn("side", F.lit("expected_only"))
-    extra = mart.exceptAll(expected.select(*shared)).withColumn("side", F.lit("mart_only"))
-    return missing.unionByName(extra)
+    """Rows found on one side only, one for each surplus copy; empty when the two agree."""
+    surplus = reconcile_rows(mart, expected)
+    return surplus.select(*mart.columns, "side", F.explode(F.array_repeat(F.lit(0), F.col("n").cast("int")))).drop("col")
+
+
+def reconcile_columns(mart: DataFrame, expected: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``column, matched, differing, mart_only, expected_only`` for every column that is no key.
+
+    Rows meet by their key in a full outer join; rows that share a key are paired in the order of their
+    values. ``matched`` counts pairs, ``differing`` those whose values differ (NULL equals NULL); the last two
+    count rows without a partner, and are the same for every column.
+    """
+    columns = [c for c in mart.columns if c not in key]
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        turn = F.row_number().over(Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_first() for c in columns]))
+        return rows.select(*key, *columns, turn.alias("__turn")).withColumn(name, F.lit(True)).alias(name)
+
+    own, other = side(mart, "mart"), side(expected, "expected")
+    same = [F.col(f"mart.{k}").eqNullSafe(F.col(f"expected.{k}")) for k in (*key, "__turn")]
+    both = own.join(other, same, "full")
+    paired = F.col("mart.mart").isNotNull() & F.col("expected.expected").isNotNull()
+    counts = both.agg(
+        F.count_if(paired).alias("matched"),
+        F.count_if(F.col("expected.expected").isNull()).alias("mart_only"), F.count_if(F.col("mart.mart").isNull()).alias("expected_only"),
+        *[F.count_if(paired & ~F.col(f"mart.{c}").eqNullSafe(F.col(f"expected.{c}"))).alias(f"__{i}") for i, c in enumerate(columns)],
+    )
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__{i}").alias("differing")) for i, c in enumerate(columns)])
+    return counts.select("matched", "mart_only", "expected_only", F.inline(each)).select("column", "matched", "differing", "mart_only", "expected_only")

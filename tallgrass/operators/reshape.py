@@ -17,10 +17,14 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _cells(wide: DataFrame, id_column: str, columns: Sequence[str], strategy: str) -> DataFrame:
+def _cells(
+    wide: DataFrame, id_column: str, columns: Sequence[str], strategy: str, batch: int | None = None
+) -> DataFrame:
     """``(id, position, value)`` for every non-null cell; row-local, nothing is shuffled.
 
-    Built as one SQL expression: a column object per cell would make wide plans slow to build.
+    Built as one SQL expression: a column object per cell would make wide plans slow to build. With ``batch``
+    no expression holds more than that many cells: a row becomes one row per batch, each with the array of its
+    cells, and those become cells, all in the one scan.
     """
     kinds = {f.name: f.dataType for f in wide.schema}
 
@@ -28,6 +32,14 @@ def _cells(wide: DataFrame, id_column: str, columns: Sequence[str], strategy: st
         name = _quoted(column)
         return name if isinstance(kinds[column], T.StringType) else f"CAST({name} AS STRING)"
 
+    if batch and batch < len(columns):
+        parts = [
+            f"named_struct('first', {i}, 'cells', array({', '.join(cell(c) for c in columns[i : i + batch])}))"
+            for i in range(0, len(columns), batch)
+        ]
+        rows = wide.selectExpr(f"{_quoted(id_column)} AS connect_id", f"inline(array({', '.join(parts)}))")
+        cells = rows.selectExpr("connect_id", "first", "posexplode(cells) AS (place, value)")
+        return cells.where("value IS NOT NULL").selectExpr("connect_id", "first + place AS position", "value")
     if strategy == "stack":
         pairs = ", ".join(f"{i}, {cell(c)}" for i, c in enumerate(columns))
         return wide.selectExpr(
@@ -56,14 +68,15 @@ def _pick(values: Sequence[str | int | None], kind: str) -> Column:
 
 
 def melt(
-    wide: DataFrame, columns: Sequence[str], id_column: str = "connect_id", strategy: str = "stack"
+    wide: DataFrame, columns: Sequence[str], id_column: str = "connect_id", strategy: str = "stack",
+    batch: int | None = None,
 ) -> DataFrame:
     """``(connect_id, source_column, value)``, one row per non-null cell. Blank text is kept.
 
     Both strategies give the same rows; ``bench.py`` times them. ``DataFrame.unpivot`` is not used:
     it keeps NULL cells, so a sparse wide table would be expanded in full before the filter.
     """
-    return _cells(wide, id_column, columns, strategy).select(
+    return _cells(wide, id_column, columns, strategy, batch).select(
         "connect_id", _pick(list(columns), "string").alias("source_column"), "value"
     )
 
@@ -151,19 +164,13 @@ def load_survey(
     The placement of each column is known when the plan is built, so it enters as constant lists
     looked up by cell position: the load has no join and no shuffle. With ``questions`` only the
     columns that hold those questions are read at all. A column mapped twice gives two rows per
-    cell, as a join would. ``batch`` splits the columns into several melts of that many columns,
-    should one plan be too wide; each melt then scans only its own columns.
+    cell, as a join would. ``batch`` limits the columns in one expression, should one plan be too wide; the
+    table is still scanned once.
     """
     chosen = _chosen(wide, placed, questions)
     if not chosen:
         return wide.sparkSession.createDataFrame([], FACT)
-    if batch and batch < len(chosen):
-        parts = [
-            load_survey(wide, chosen[i : i + batch], table, layer, id_column, strategy=strategy)
-            for i in range(0, len(chosen), batch)
-        ]
-        return reduce(DataFrame.unionByName, parts)
-    cells = _cells(wide, id_column, [p.source_column for p in chosen], strategy)
+    cells = _cells(wide, id_column, [p.source_column for p in chosen], strategy, batch)
     described = cells.select(
         "connect_id",
         *[

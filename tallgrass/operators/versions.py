@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallgrass.operators.dictionary import Star, forward_fill
+from tallgrass.plans.session import scratch_path
+from tallgrass.sources.writers import store
 
 # Fixed value: how a variable name states its version and revision.
 AXES = r"_v([0-9]+)r([0-9]+)$"
@@ -126,31 +128,58 @@ def answer_version() -> Column:
     return F.coalesce(tag.try_cast("bigint"), F.lit(1).cast("bigint"))
 
 
-def responses_current(fact: DataFrame, question: DataFrame) -> DataFrame:
-    """Answers with the question they count under today.
+def successor_chains(question: DataFrame) -> DataFrame:
+    """``question_concept_id, current_question_cid, hops, in_cycle`` for every question.
 
-    An answer to a deprecated question is routed to its successor when that successor exists.
+    A deprecated question leads to its successor where that exists; the successor may be deprecated too. Chains
+    are followed by pointer doubling: in every round a question takes over where its pointer points, so a chain
+    of any length needs as many rounds as its length has binary digits. A question that has found no end when
+    all edges would be used up is in a circle or leads into one; it is reported and stays under itself.
     """
-    existing = question.select(F.col("question_concept_id").alias("successor_concept_id"))
-    routes = (
-        question.where("status = 'Deprecated' AND successor_concept_id IS NOT NULL")
-        .select("question_concept_id", "successor_concept_id")
-        .join(existing, "successor_concept_id", "left_semi")
+    spark = question.sparkSession
+    listed = question.groupBy("question_concept_id").agg(
+        F.min(F.when(F.col("status") == "Deprecated", F.col("successor_concept_id"))).alias("successor")
+    )
+    existing = listed.select(F.col("question_concept_id").alias("successor"))
+    edges = store(
+        listed.where("successor IS NOT NULL").join(existing, "successor", "left_semi").select("question_concept_id", "successor"),
+        scratch_path(spark, "edges"),
+    )
+    inner = edges.select(F.col("question_concept_id").alias("to"), F.lit(False).alias("ends"))
+    first = edges.select("question_concept_id", F.col("successor").alias("to"), F.lit(1).cast("bigint").alias("hops"))
+    first = first.join(inner, "to", "left").select("question_concept_id", "to", "hops", F.coalesce("ends", F.lit(True)).alias("ends"))
+    found, reached, total = store(first, scratch_path(spark, "chains")), 1, edges.count()
+    while reached < total and not found.where("NOT ends").isEmpty():
+        further = found.select(F.col("question_concept_id").alias("to"), F.col("to").alias("next"), F.col("hops").alias("more"), F.col("ends").alias("ended"))
+        moved = found.where("NOT ends").join(further, "to").select(
+            "question_concept_id", F.col("next").alias("to"), (F.col("hops") + F.col("more")).alias("hops"), F.col("ended").alias("ends")
+        )
+        found, reached = store(found.where("ends").unionByName(moved), scratch_path(spark, "chains")), reached * 2
+    return listed.join(found, "question_concept_id", "left").select(
+        "question_concept_id",
+        F.when(F.col("ends"), F.col("to")).otherwise(F.col("question_concept_id")).alias("current_question_cid"),
+        F.when(F.col("ends"), F.col("hops")).when(F.col("ends").isNull(), F.lit(0)).alias("hops"),
+        F.coalesce(~F.col("ends"), F.lit(False)).alias("in_cycle"),
     )
+
+
+def responses_current(fact: DataFrame, question: DataFrame) -> DataFrame:
+    """Answers with the question they count under today, at the end of its chain of successors."""
+    routes = successor_chains(question).where("hops > 0").select("question_concept_id", "current_question_cid")
     return fact.join(routes, "question_concept_id", "left").select(
         *fact.columns,
-        F.coalesce("successor_concept_id", "question_concept_id").alias("current_question_cid"),
+        F.coalesce("current_question_cid", "question_concept_id").alias("current_question_cid"),
     )
 
 
 def pooled_successor(fact: DataFrame, question: DataFrame, star: Star) -> DataFrame:
-    """Answer counts after every question with a successor is counted under it."""
+    """Answer counts of listed questions, each counted where :func:`successor_chains` leads."""
     counted = fact.groupBy("question_concept_id", "response_value_as_concept_id").agg(
         F.count(F.lit(1)).alias("n")
     )
     routed = counted.join(
-        question.select("question_concept_id", "successor_concept_id"), "question_concept_id"
-    ).withColumn("q_cid", F.coalesce("successor_concept_id", "question_concept_id"))
+        successor_chains(question).select("question_concept_id", F.col("current_question_cid").alias("q_cid")), "question_concept_id"
+    )
     labels = star.response.select(
         F.col("response_concept_id").alias("response_value_as_concept_id"),
         F.col("format_value").alias("answer"),

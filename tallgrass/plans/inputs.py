@@ -623,6 +623,28 @@ def question_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def question_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions from part in groups of twelve: a chain of five successors, and a circle of three that one leads into."""
+    k = F.col("p_partkey")
+    m = k % 12
+    to = F.when(m.between(1, 5) | m.between(7, 9), k + 1).when(m == 10, k - 2)
+    return table(spark, sf_dir, "part").select(
+        (k + 500000000).cast("string").alias("question_concept_id"),
+        F.when(to.isNotNull(), "Deprecated").alias("status"),
+        (to + 500000000).cast("string").alias("successor_concept_id"),
+    )
+
+
+def release_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with an age, a postal code like number and the day of their first order."""
+    first = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").cast("date").alias("day"))
+    return table(spark, sf_dir, "customer").join(first, F.col("c_custkey") == F.col("o_custkey"), "left").select(
+        F.col("c_custkey").cast("string").alias("connect_id"),
+        (F.floor(F.col("c_acctbal") / 150) + 20).cast("bigint").alias("age"),
+        F.concat(F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.lit("-"), (F.col("c_custkey") % 3).cast("string")).alias("postal"), "day",
+    )
+
+
 def part_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coded answers to the questions made from part, one per line item."""
     return table(spark, sf_dir, "lineitem").select(

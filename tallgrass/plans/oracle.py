@@ -366,6 +366,27 @@ SELECT CAST(p_partkey + 500000000 AS VARCHAR) AS question_concept_id,
   CAST(p_partkey % 40 + 600000000 AS VARCHAR) AS current_source_question,
   CASE WHEN p_partkey % 2 = 0 THEN CAST(p_partkey % 40 + 600000000 AS VARCHAR) END AS v1_source_question
 FROM part""",
+    "chains": """
+SELECT CAST(p_partkey + 500000000 AS VARCHAR) AS q, CAST(t + 500000000 AS VARCHAR) AS successor FROM (SELECT p_partkey,
+  CASE WHEN p_partkey % 12 IN (1, 2, 3, 4, 5, 7, 8, 9) THEN p_partkey + 1 WHEN p_partkey % 12 = 10 THEN p_partkey - 2 END AS t FROM part)""",
+    "steps": """
+SELECT c.q, c.successor AS at, CAST(1 AS BIGINT) AS hops FROM chains c JOIN chains n ON n.q = c.successor
+UNION ALL SELECT s.q, c.successor, s.hops + 1 FROM steps s JOIN chains c ON c.q = s.at JOIN chains n ON n.q = c.successor WHERE s.hops < 12""",
+    "ends": """
+SELECT c.q AS question_concept_id, coalesce(e.at, c.q) AS current_question_cid,
+  CASE WHEN e.q IS NOT NULL THEN e.hops WHEN NOT EXISTS (SELECT 1 FROM steps s WHERE s.q = c.q) THEN 0 END AS hops,
+  e.q IS NULL AND EXISTS (SELECT 1 FROM steps s WHERE s.q = c.q) AS in_cycle
+FROM chains c LEFT JOIN (SELECT s.* FROM steps s JOIN chains x ON x.q = s.at
+  LEFT JOIN chains y ON y.q = x.successor WHERE y.q IS NULL) e ON e.q = c.q""",
+    "release_people": """
+SELECT c_custkey, CAST(floor(c_acctbal / 150) AS BIGINT) + 20 AS age, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '-' || (c_custkey % 3) AS postal, day
+FROM customer LEFT JOIN (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS day FROM orders GROUP BY 1) ON o_custkey = c_custkey""",
+    "release_forms": """
+SELECT la, lp, ld, CASE la WHEN 0 THEN coalesce(CAST(age // 5 * 5 AS VARCHAR), 'unknown') WHEN 1 THEN coalesce(CAST(age // 20 * 20 AS VARCHAR), 'unknown') ELSE '*' END AS age,
+  CASE lp WHEN 0 THEN postal WHEN 1 THEN substr(postal, 1, 2) ELSE '*' END AS postal,
+  CASE ld WHEN 0 THEN coalesce(strftime(day, '%Y-%m'), 'unknown') WHEN 1 THEN coalesce(strftime(day, '%Y'), 'unknown') ELSE '*' END AS day
+FROM release_people, (VALUES (0), (1), (2)) a(la), (VALUES (0), (1), (2)) p(lp), (VALUES (0), (1), (2)) d(ld)""",
+    "release_cells": "SELECT la, lp, ld, age, postal, day, count(*) AS n FROM release_forms GROUP BY ALL",
     "lifecycle": f"""
 SELECT q_cid AS question_concept_id, arg_min(status, rn) AS status, arg_min(status_date, rn) AS status_date
 FROM (SELECT rn, last_value(q_cid IGNORE NULLS) OVER (ORDER BY rn) AS q_cid, status, status_date
@@ -609,5 +630,5 @@ def query(sql: str) -> str:
     seen: list[str] = []
     _needed(sql, seen)
     parts = ",\n".join(f"{name} AS ({PARTS[name].strip()})" for name in seen)
-    start = "WITH RECURSIVE" if "walk" in seen else "WITH"
+    start = "WITH RECURSIVE" if {"walk", "steps"} & set(seen) else "WITH"
     return f"{start} {parts}\n{sql.strip()}" if parts else sql.strip()

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -47,6 +48,31 @@ def schema_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     )
 
 
+def _values(schema: T.StructType, reach: Column | None = None, prefix: str = "", repeated: bool = False) -> Iterator[tuple[str, Column]]:
+    """How many values each column of a row holds, nested ones included; inside an array, over its entries."""
+
+    def inside(name: str) -> Column:
+        return F.transform(reach, lambda entry: entry[name]) if repeated else reach[name]
+
+    for field in schema:
+        here = F.col(f"`{field.name}`") if reach is None else inside(field.name)
+        array = isinstance(field.dataType, T.ArrayType)
+        held = F.size(F.array_compact(here)) if repeated else here.isNotNull().cast("int")
+        yield prefix + field.name, F.greatest(F.coalesce(held, F.lit(0)), F.lit(0))
+        inner = _leaf_struct(field.dataType)
+        if inner is not None:
+            below = F.flatten(here) if array and repeated else here
+            yield from _values(inner, below, f"{prefix}{field.name}.", repeated or array)
+
+
+def schema_profile(df: DataFrame) -> DataFrame:
+    """:func:`schema_rows` with ``n_values``, how many non-null values each column holds; one pass, one aggregate."""
+    counted = list(_values(df.schema))
+    sums = df.agg(*[F.coalesce(F.sum(held), F.lit(0)).alias(f"__{i}") for i, (_, held) in enumerate(counted)])
+    pairs = F.array(*[F.struct(F.lit(name).alias("column"), F.col(f"__{i}").alias("n_values")) for i, (name, _) in enumerate(counted)])
+    return schema_rows(df.sparkSession, df.schema).join(sums.select(F.inline(pairs)), "column")
+
+
 def table_columns(spark: SparkSession, tables: dict[str, T.StructType]) -> DataFrame:
     """``table, column`` rows for several tables, ready for name parsing."""
     rows = [(table, name) for table, schema in sorted(tables.items()) for name in column_paths(schema)]
