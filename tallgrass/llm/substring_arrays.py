@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.llm import arrays
 from tallgrass.llm.collide import repeated
-from tallgrass.llm.graph import keep
+from tallgrass.llm.graph import keep, sweep
 
 PERIOD = 273
 
@@ -253,7 +253,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, least: int = 400, texts
     same = [docs["doc_id"].eqNullSafe(chosen["doc_id"]), docs["text_id"] == chosen["text_id"]]
     open_texts = docs.join(chosen, same).select(docs["text_id"], docs["text"].cast("binary").alias("text"), F.array_distinct("known").alias("known"))
     open_texts = keep(spark, open_texts, "open")
+    sweep(spark)
     runs = keep(spark, open_texts.mapInArrow(_to_buckets(parts, least), _BUCKETS).repartitionById(parts, F.col("part")).mapInArrow(_sort_buckets, _RUNS), "runs")
+    sweep(spark)
     runs = runs.groupBy("text_id").agg(F.collect_list("start").alias("begins"), F.collect_list("count").alias("counts"))
     schema = "text_id long, n_removed long, spans array<struct<start: long, stop: long>>, kept_sha256 string, kept string"
     done = open_texts.join(runs, "text_id").select("text_id", "text", "begins", "counts").mapInArrow(_remove(least), schema)
