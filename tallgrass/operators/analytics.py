@@ -340,21 +340,3 @@ def shape_e(fact: DataFrame) -> DataFrame:
         .agg(_rows().alias("n"))
         .orderBy(F.desc("n"), "secondary_source_concept_id")
     )
-
-
-def scan_reduction(runs: DataFrame) -> DataFrame:
-    """Amount read per shape, clustered against not, and the share saved.
-
-    ``runs`` is ``shape, variant, amount`` with variants ``clustered`` and ``no_clustering``.
-    """
-
-    def amount(variant: str) -> Column:
-        return F.max(F.when(F.col("variant") == variant, F.col("amount")))
-
-    return runs.groupBy("shape").agg(
-        amount("clustered").alias("clustered"),
-        amount("no_clustering").alias("no_clustering"),
-        F.round(F.lit(1.0) - F.try_divide(amount("clustered"), amount("no_clustering")), 3).alias(
-            "scan_reduction_ratio"
-        ),
-    )

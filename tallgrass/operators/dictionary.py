@@ -132,6 +132,33 @@ def question_response(filled: DataFrame) -> DataFrame:
     )
 
 
+VARIABLE_KEY = (
+    "primary_source_concept_id", "secondary_source_concept_id", "source_question_concept_id", "question_concept_id", "response_concept_id",
+)
+
+
+def variable_metadata(rows: DataFrame) -> DataFrame:
+    """One row per variable: five concept ids, and the first label, type, length, privacy flag and status in file order.
+
+    ``rows`` are dictionary rows with ``variable_label, variable_type, variable_length, pii, status`` beside the
+    concept columns. Section and question are carried down. The source question is that of the question's own row;
+    a question that opens without one has none, so both are carried together. Blank and unknown flags are NULL.
+    """
+    filled = forward_fill(
+        blanks_to_null(rows).withColumn("__parent", F.when(F.col("q_cid") != "", F.struct("sq_cid"))),
+        "rn", ["prim_cid", "sec_cid", "q_cid", "__parent"],
+    )
+    flag = F.lower("pii")
+    named = filled.where("q_cid_f IS NOT NULL").select(
+        "rn", F.col("prim_cid_f").alias(VARIABLE_KEY[0]), F.col("sec_cid_f").alias(VARIABLE_KEY[1]), F.col("__parent_f.sq_cid").alias(VARIABLE_KEY[2]),
+        F.col("q_cid_f").alias(VARIABLE_KEY[3]), F.col("resp_cid").alias(VARIABLE_KEY[4]), "variable_label", "variable_type",
+        F.col("variable_length").try_cast("bigint").alias("variable_length"), F.when(flag == "yes", True).when(flag == "no", False).alias("pii"),
+        F.col("status").alias("deprecated_new_or_revised"),
+    )
+    values = ("variable_label", "variable_type", "variable_length", "pii", "deprecated_new_or_revised")
+    return named.groupBy(*VARIABLE_KEY).agg(*[_first(v).alias(v) for v in values])
+
+
 def v_data_dictionary(star: Star, ordered: bool = True) -> DataFrame:
     """Back to the flat grain: one row per question and allowed response."""
     flat = (

@@ -118,6 +118,16 @@ def mask_free_text(fact: DataFrame) -> DataFrame:
     return fact.withColumns({c: F.when(typed.isNotNull(), F.col(c)) for c in hidden})
 
 
+def drop_free_text(fact: DataFrame, kinds: DataFrame) -> DataFrame:
+    """Leave out every answer to a question whose answer is free text, typed or not.
+
+    ``kinds`` is ``question_concept_id, base_type`` of :func:`tallgrass.operators.versions.question_type_norm`. A text
+    beside a coded answer is a question of its own, so the coded answer stays.
+    """
+    free = kinds.where("base_type = 'TEXT_FREE'").select("question_concept_id").distinct()
+    return fact.join(free, "question_concept_id", "left_anti").select(*fact.columns)
+
+
 def shift_days(participant: Column, salt: str, span: int) -> Column:
     """Days to shift a participant's dates, from ``-span`` to ``span``, fixed by a salted hash."""
     digest = F.sha2(F.concat(F.lit(f"{salt}|"), participant), 256)

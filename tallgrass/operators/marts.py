@@ -53,10 +53,9 @@ LAST_OVER_YEAR = "802197176"
 def pivot_questions(fact: DataFrame, picks: Sequence[Pick]) -> DataFrame:
     """One row per participant, one column per pick; several marts can share one call.
 
-    A repeated question keeps its largest answer (largest text, or largest number). Only the picked
-    questions enter the aggregate; the full participant list, which has to stay whole, comes from a
-    distinct over the id column alone. Both sides are hashed on the participant, so the join adds no
-    shuffle.
+    A repeated question keeps its largest answer (largest text, or largest number). One pass over the answers
+    gives the picked ones and the participants, who stay whole; rows are reduced to one per participant before
+    the shuffle.
     """
     answer = F.col("response_value_as_string")
 
@@ -66,10 +65,7 @@ def pivot_questions(fact: DataFrame, picks: Sequence[Pick]) -> DataFrame:
             hit = hit & (F.col("source_question_concept_id") == p.source_question)
         return F.max(F.when(hit, strict_number(answer) if p.kind == "number" else answer)).alias(p.name)
 
-    wanted = fact.where(F.col("question_concept_id").isin(*sorted({p.question for p in picks})))
-    answers = wanted.groupBy("connect_id").agg(*[pick(p) for p in picks])
-    everyone = fact.select("connect_id").distinct()
-    return everyone.join(answers, "connect_id", "left")
+    return fact.groupBy("connect_id").agg(*[pick(p) for p in picks])
 
 
 def _with_labels(base: DataFrame, response: DataFrame, labels: dict[str, str], default: str) -> DataFrame:

@@ -291,3 +291,15 @@ def colmap(placed: DataFrame) -> DataFrame:
         ),
         F.nullif("version_tag", F.lit("")).alias("question_version"),
     )
+
+
+def build_colmap(columns: DataFrame, sheet: DataFrame, crosswalk: DataFrame, layer: str = "clean") -> DataFrame:
+    """From column names, the dictionary sheet and the crosswalk lines to the mapping that the load takes.
+
+    ``columns`` is ``table, column``; ``crosswalk`` has one survey per table.
+    """
+    carried = carried_rows(sheet)
+    placed = place_columns(
+        parse_columns(columns, layer=layer), concept_roles(sheet), question_surveys(carried), crosswalk, survey_domain(carried)
+    )
+    return colmap(placed)

@@ -202,17 +202,12 @@ def rule_violations(
         F.when(kind == "is_numeric", strict_number(value).isNull())
         .when(kind == "is_date", date_value(value).isNull())
         .when(kind == "max_length", F.char_length(value) > F.col("argument").try_cast("bigint"))
-        .otherwise(F.lit(False))
+        .otherwise(F.col("allowed").isNull())
     )
     allowed = star.question_response.select(
-        "question_concept_id", F.col("response_concept_id").alias("response_value_as_string")
-    )
-    by_value = checked.where(broken).select(*out)
-    outside = (
-        checked.where(kind == "in_option_set")
-        .join(allowed, ["question_concept_id", "response_value_as_string"], "left_anti")
-        .select(*out)
-    )
+        "question_concept_id", F.col("response_concept_id").alias("response_value_as_string"), F.lit(True).alias("allowed")
+    ).distinct()
+    by_value = checked.join(allowed, ["question_concept_id", "response_value_as_string"], "left").where(broken).select(*out)
     expected = rules.where(kind.isin("required", "required_if")).select("question_concept_id").distinct()
     given = (
         fact.join(expected, "question_concept_id", "left_semi")
@@ -241,7 +236,7 @@ def rule_violations(
         .distinct()
     )
     unmet = opened.join(given, ["connect_id", "question_concept_id"], "left_anti").select(*out)
-    return by_value.unionByName(outside).unionByName(required).unionByName(unmet)
+    return by_value.unionByName(required).unionByName(unmet)
 
 
 def violation_counts(violations: DataFrame) -> DataFrame:

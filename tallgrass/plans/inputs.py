@@ -6,9 +6,7 @@ gets, so that all edge cases appear at every scale.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -38,10 +36,17 @@ LOOP_PARENT, LOOP_QUESTION = "120000000", "120000001"
 ENGLISH, SPANISH = "163149180", "773342525"
 
 
-@lru_cache(maxsize=256)
+_schemas: dict[tuple[int, str, str], StructType] = {}
+
+
 def _schema(spark: SparkSession, path: str) -> StructType:
-    """A file's schema, looked up once per session instead of once per read."""
-    return spark.read.parquet(path).schema
+    """A file's schema, looked up again when the file has been written anew."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    state = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place)
+    key = id(spark), path, f"{state.getModificationTime()}-{state.getLen()}"
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return _schemas[key]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -177,7 +182,7 @@ def module_c(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# table, column, survey, source question, question, loop, revision
+# fixed placement of the columns below: table, column, survey, source question, question, loop, revision
 COLMAP = [
     ("module_a", "d_100000001", SURVEY_A, None, "100000001", 1, None),
     ("module_a", "d_100000002", SURVEY_A, None, "100000002", 1, None),
@@ -372,6 +377,7 @@ ADDRESS_TEXTS = {
     12: "Autogenerated date/time stamp",
     13: "Is this survey complete?",
 }
+# fixed values: type texts as the dictionary writes them, and statuses
 TYPE_TEXTS = {
     0: "Optional Select All that Apply",
     1: "Or (xor=) Question (either/or text boxes without radio button), Loops",
@@ -399,7 +405,6 @@ TYPE_TEXTS = {
     23: "Required Multiple Choice",
     24: "Optional Multiple Choice, Figures (with radio button to select one)",
     25: "Special Function",
-    26: "Self Populates Outside of the Form",
     27: "Multiple Choice with displayif and/or Piped Text",
     28: "Mulitple Choice",
     29: "Text box",
@@ -496,6 +501,13 @@ def sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sheet(spark, sf_dir).select(*SHEET_COLUMNS)
 
 
+def variable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the sheet with what it says about variables."""
+    rows_ = sheet(spark, sf_dir).withColumn("variable_type", F.col("q_type"))
+    length = _parts(spark, sf_dir).select("rn", (F.col("k") % 7).cast("string").alias("variable_length"))
+    return rows_.join(length, "rn")
+
+
 def sheet_star(spark: SparkSession, sf_dir: str) -> Star:
     """The dictionary tables built from the sheet."""
     return build_star(filled_rows(sheet_rows(spark, sf_dir)))
@@ -851,6 +863,34 @@ def markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select((F.col("p_partkey") * 3 + F.col("offset")).alias("line_id"), "line")
 
 
+def module_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dictionary of the three modules as rows of a sheet, cells blank below the first row of a question."""
+    labels = star(spark, sf_dir)
+    flat = (
+        labels.question.join(labels.secondary_source, "secondary_source_concept_id")
+        .join(labels.primary_source, "primary_source_concept_id")
+        .join(labels.source_question, "source_question_concept_id", "left")
+        .join(labels.question_response, "question_concept_id", "left")
+        .join(labels.response, "response_concept_id", "left")
+    )
+    order = Window.orderBy("secondary_source_concept_id", "question_concept_id", F.asc_nulls_first("response_concept_id"))
+    numbered = flat.withColumn("rn", F.row_number().over(order).cast("bigint"))
+    first = F.col("rn") == F.min("rn").over(Window.partitionBy("question_concept_id"))
+    opens = F.col("rn") == F.min("rn").over(Window.partitionBy("secondary_source_concept_id"))
+
+    def cell(condition: Column, name: str) -> Column:
+        return F.coalesce(F.when(condition, F.col(name)), F.lit(""))
+
+    return numbered.select(
+        "rn", cell(opens, "primary_source_concept_id").alias("prim_cid"), cell(opens, "primary_source").alias("prim"),
+        cell(opens, "secondary_source_concept_id").alias("sec_cid"), cell(opens, "secondary_source").alias("sec"),
+        cell(first, "source_question_concept_id").alias("sq_cid"), cell(first, "source_question_text").alias("sq_text"),
+        cell(first, "grid_name").alias("grid_name"), cell(first, "question_concept_id").alias("q_cid"),
+        cell(first, "question_text").alias("q_text"), cell(first, "question_type").alias("q_type"),
+        cell(F.lit(True), "response_concept_id").alias("resp_cid"), cell(F.lit(True), "format_value").alias("resp_fmt"),
+    )
+
+
 def questionnaire_files(spark: SparkSession, sf_dir: str) -> str:
     """A folder of questionnaires of different size made from the parts; each begins with a line that has no question above it."""
     lines = markup(spark, sf_dir).withColumn("part", F.floor(F.col("line_id") / 3) % 6)

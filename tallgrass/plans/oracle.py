@@ -351,6 +351,31 @@ SELECT connect_id,
   max(CASE WHEN question_concept_id = '639684251' THEN response_value_as_string END) AS smoke_cigs_now_concept_id,
   max(CASE WHEN question_concept_id = '798549704' THEN response_value_as_string END) AS cigs_lasttime_concept_id
 FROM fact GROUP BY connect_id""",
+    "lifetime_codes": values("code, over", [("132232896", 1), ("151488193", 0), ("805449318", 0), ("486319890", 0)]),
+    # combinations of status, lifetime number, smoking now and last time, as patterns; '' is no answer
+    "smoking_codes": values(
+        "s_is, l_is, n_is, t_is, category",
+        [
+            (inputs.NO, "%", "%", "%", "Never Smoker"),
+            (inputs.YES, "151488193", "%", "%", "Never Smoker"),
+            (inputs.YES, "805449318", "%", "%", "Never Smoker"),
+            (inputs.YES, "486319890", "%", "317567178", "Current Smoker"),
+            (inputs.YES, "486319890", "%", "484055234", "Current Smoker"),
+            (inputs.YES, "486319890", "%", "802197176", "Former Smoker"),
+            (inputs.YES, "486319890", "299561721", "", "Current Smoker"),
+            (inputs.YES, "486319890", "716761013", "", "Current Smoker"),
+            (inputs.YES, "486319890", "804785430", "", "Current Smoker"),
+            (inputs.YES, "486319890", "419415087", "", "Former Smoker"),
+            (inputs.YES, "132232896", "%", "317567178", "Current Smoker"),
+            (inputs.YES, "132232896", "%", "484055234", "Current Smoker"),
+            (inputs.YES, "132232896", "%", "802197176", "Former Smoker"),
+            (inputs.YES, "132232896", "299561721", "", "Current Smoker"),
+            (inputs.YES, "132232896", "716761013", "", "Current Smoker"),
+            (inputs.YES, "132232896", "804785430", "", "Current Smoker"),
+            (inputs.YES, "132232896", "419415087", "", "Former Smoker"),
+            (inputs.YES, "", "419415087", "802197176", "Former Smoker"),
+        ],
+    ),
     "chosen": """
 SELECT connect_id, secondary_source_concept_id, source_question_concept_id AS question_concept_id,
   question_concept_id AS response_value_as_concept_id, loop_instance, question_version, source_table, source_column
@@ -431,7 +456,8 @@ FROM (SELECT *, replace(regexp_replace(lower(trim(question_type)), '\s+', ' ', '
     "star_types": r"""
 SELECT question_concept_id, CASE WHEN lower(question_type) LIKE '%select all that apply%' THEN 'SELECT_ALL_THAT_APPLY'
   WHEN lower(question_type) LIKE 'grid%' THEN 'GRID'
-  WHEN lower(question_type) LIKE '%multiple choice%' THEN 'MULTIPLE_CHOICE' END AS base_type FROM question""",
+  WHEN lower(question_type) LIKE '%multiple choice%' THEN 'MULTIPLE_CHOICE'
+  WHEN lower(question_type) LIKE 'text only response%' OR lower(question_type) = 'text box' THEN 'TEXT_FREE' END AS base_type FROM question""",
     "tagged": """
 SELECT 'module' || (b % 3) AS tbl, 'd_' || (b + 500000000) || CASE WHEN b % 4 = 1 THEN '_v2' WHEN b % 4 = 0 THEN ''
     ELSE (CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN '_v2' ELSE '_V3' END) END AS col

@@ -104,3 +104,24 @@ def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
             metadata["comment"] = comments[field.name]
         fields.append(df[field.name].alias(field.name, metadata=metadata))
     return df.select(*fields)
+
+
+def describe_table(spark: SparkSession, table: str, description: str, columns: dict[str, str] | None = None) -> None:
+    """Write a description, and descriptions of columns, onto a table of the session's catalogue."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    spark.sql(f"COMMENT ON TABLE {table} IS {quoted(description)}")
+    for name, text in (columns or {}).items():
+        spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{name}` COMMENT {quoted(text)}")
+
+
+def descriptions(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
+    """``table, column, description``: what the catalogue says about tables (``column`` is NULL) and their columns."""
+    rows: list[tuple[str, str | None, str]] = []
+    for table in tables:
+        about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        rows.append((table, None, about.get("Comment", "")))
+        rows += [(table, f.name, (f.metadata or {}).get("comment", "")) for f in spark.table(table).schema]
+    return spark.createDataFrame(rows, "table string, column string, description string")

@@ -25,7 +25,6 @@ TYPES = {
     "Mulitple Text Boxes": "MULTIPLE_TEXT_BOXES",
     "Mulitple Choice": "MULTIPLE_CHOICE",
     "Special Function": "SPECIAL_FUNCTION",
-    "Self Populates Outside of the Form": "SPECIAL_FUNCTION",
     "Dropdown Menu (single choice)": "MULTIPLE_CHOICE",
     "Optional Multiple Choice, Figures (with radio button to select one)": "MULTIPLE_CHOICE",
     "Question text also for something else": None,
