@@ -15,6 +15,8 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallgrass.llm.graph import keep
+
 # fixed values: labels, notices of well-known licences, and phrases a notice must hold
 TEMPLATES: list[tuple[str, str, list[str]]] = [
     ("mit", "Released under the MIT License.", ["mit license"]),
@@ -79,9 +81,7 @@ TEMPLATES: list[tuple[str, str, list[str]]] = [
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 COMMON_IN = 0.34  # a word in more than this share of the templates is no rare word
 
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _template_words(text: str) -> list[str]:
@@ -103,14 +103,6 @@ def build_index() -> tuple[list[str], list[tuple[str, int, int]], list[int]]:
     return rare, postings, [sum(1 for p in postings if p[1] == n) for n in range(len(cut))]
 
 
-def _any_of(words: list[str]) -> str:
-    """One pattern for many words, branching on the first letter."""
-    tails: dict[str, list[str]] = defaultdict(list)
-    for word in words:
-        tails[word[0]].append(word[1:])
-    return "(?i)(?:" + "|".join(f"{first}(?:{'|'.join(sorted(rest))})" for first, rest in sorted(tails.items())) + ")"
-
-
 def _places(words: str, phrase: str) -> Column:
     """Starts of the places where the phrase's words stand one after another."""
     parts = phrase.split()
@@ -136,58 +128,66 @@ def license_scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     Null and empty texts have no words and no labels. Rows that repeat, have a null ``doc_id`` or
     carry other columns are judged one by one; equal ``doc_id`` and text share one look-up. Texts are
-    scanned whole. Only files with a rare licence word or a base phrase are cut into words; the index
-    is fixed by the templates, so its size does not grow with the data.
+    cut into words once and scanned whole, however long; the words of files with a rare licence word are
+    stored, so that key phrases are looked for only where postings agree. The index is fixed by the
+    templates, so its size does not grow with the data.
     """
     rare, postings, totals = build_index()
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    hit = F.col("text").rlike(_any_of([*rare, "license"]))
-    cut = F.when(hit, F.filter(F.split(F.translate("text", _UPPER, _LOWER), _APART), lambda w: w != ""))
-    files = docs.select("doc_id", "text", F.regexp_count("text", F.lit(_WORD)).cast("long").alias("n_words"), cut.alias("words"))
-
-    places = {phrase: _places("words", phrase) for phrase in BASE}
-    base = files.select(
-        "doc_id", "n_words", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("size"),
-        F.array_compact(F.flatten(F.array(*[F.coalesce(p, F.array().cast("array<int>")) for p in places.values()]))).alias("starts"),
-        F.array_sort(F.array_compact(F.array(*[F.when(F.size(p) > 0, F.lit(BASE[phrase])) for phrase, p in places.items()]))).alias("base"),
+    # the Kelvin sign is the only other character that lower-casing turns into a letter of a licence word
+    low = F.lower(F.replace("text", F.lit("\u212a"), F.lit("\u0138")))
+    cut = F.array_remove(F.split(low, _APART), "")
+    # a generator's output is computed once, however many expressions below read it
+    files = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("size"), F.explode(F.array(cut)).alias("words"))
+
+    none = F.array().cast("array<int>")
+    ends = F.array_contains("words", F.lit("license"))  # the last word of every base phrase
+    places = {phrase: F.when(ends, _places("words", phrase)).otherwise(none) for phrase in BASE}
+    spoken = files.select(
+        "doc_id", "text_hash", "size", F.size("words").cast("long").alias("n_words"), "words",
+        F.explode(F.array(F.struct(*[places[p].alias(label) for p, label in BASE.items()]))).alias("at"),
+        F.array_intersect(F.array(*map(F.lit, rare)), F.col("words")).alias("look"),
     )
-
-    joined = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
-    verified = F.array_compact(
-        F.array(*[
-            F.when(
-                F.forall(F.array(*[F.contains(joined, F.lit(f" {key} ")) for key in keys]), lambda x: x), F.lit(number)
-            )
-            for number, (_, _, keys) in enumerate(TEMPLATES)
-        ])
+    scanned = keep(
+        spark,
+        spoken.select(
+            "doc_id", "text_hash", "size", "n_words", F.concat(*[F.col(f"at.{label}") for label in BASE.values()]).alias("starts"),
+            F.array_sort(F.array_compact(F.array(*[F.when(F.size(f"at.{label}") > 0, F.lit(label)) for label in BASE.values()]))).alias("base"),
+            "look", F.when(F.size("look") > 0, F.col("words")).alias("words"),
+        ),
+        "scanned",
     )
+
     marked = [(word, number, place, 1 << place) for word, number, place in postings]  # templates are short
     index = spark.createDataFrame(marked, "word string, template int, place int, bit long")
-    looked = files.where("words is not null").select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("size"), "words",
-        F.array_intersect(F.array(*map(F.lit, rare)), F.col("words")).alias("look"), verified.alias("verified"),
-    )
-    hits = (
-        looked.where("size(verified) > 0 and size(look) > 0")
-        .select("doc_id", "text_hash", "size", "verified", "look", F.posexplode("words").alias("at", "word"))
+    key = ["doc_id", "text_hash", "size"]
+    total, name = F.array(*map(F.lit, totals)), F.array(*[F.lit(label) for label, _, _ in TEMPLATES])
+    holding = scanned.where("words is not null")
+    agreed = (
+        holding.select(*key, "look", F.posexplode("words").alias("at", "word"))
         .where(F.array_contains("look", F.col("word")))
         .join(F.broadcast(index), "word")  # as large as the templates, whatever the data
-        .where(F.array_contains("verified", F.col("template")))
-        .groupBy("doc_id", "text_hash", "size", "template", (F.col("at") - F.col("place")).alias("offset"))
+        .groupBy(*key, "template", (F.col("at") - F.col("place")).alias("offset"))
         .agg(F.bit_count(F.bit_or("bit")).alias("agree"))
-    )
-    total = F.array(*map(F.lit, totals))
-    name = F.array(*[F.lit(label) for label, _, _ in TEMPLATES])
-    found = (
-        hits.withColumn("share", F.col("agree") / F.get(total, F.col("template")))
+        .groupBy(*key, "template")
+        .agg(F.max(F.col("agree") / F.get(total, F.col("template"))).alias("share"))
         .where("share >= 0.6")
-        .groupBy("doc_id", "text_hash", "size")
-        .agg(F.max("share").alias("share"), F.collect_set(F.get(name, F.col("template"))).alias("more"))
+        .groupBy(*key)
+        .agg(F.collect_list(F.struct("template", "share")).alias("agreed"))
     )
-    same = [base[c].eqNullSafe(found[c]) for c in ("doc_id", "text_hash", "size")]
+    joined = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
+    said = [F.forall(F.array(*[F.contains(F.col("told"), F.lit(f" {phrase} ")) for phrase in keys]), lambda x: x) for _, _, keys in TEMPLATES]
+
+    def same(left: str, right: str) -> list[Column]:
+        return [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in key]
+
+    once = holding.alias("h").join(agreed.alias("a"), same("h", "a")).select("h.doc_id", "h.text_hash", "h.size", "agreed", F.explode(F.array(joined)).alias("told"))
+    once = once.dropDuplicates(key)
+    verified = once.select(*key, F.explode(F.filter("agreed", lambda t: F.get(F.array(*said), t["template"]))).alias("t"))
+    found = verified.groupBy(*key).agg(F.max("t.share").alias("share"), F.collect_set(F.get(name, F.col("t.template"))).alias("more"))
     nothing = F.array().cast("array<string>")
-    return base.join(found, same, "left").select(
-        base["doc_id"], "n_words", F.size("starts").cast("long").alias("n_base"),
+    return scanned.alias("s").join(found.alias("f"), same("s", "f"), "left").select(
+        "s.doc_id", "n_words", F.size("starts").cast("long").alias("n_base"),
         F.array_min("starts").cast("long").alias("first_word"), F.array_max("starts").cast("long").alias("last_word"),
         F.array_join(F.array_distinct("base"), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("base", F.coalesce("more", nothing))), ",").alias("labels"),
