@@ -277,7 +277,10 @@ def _verify(spark: SparkSession, pairs: DataFrame, facts: DataFrame, near: Colum
     return similar
 
 
-def link(spark: SparkSession, met: DataFrame, facts: DataFrame, near: Column, sets: Sets, percent: int, sketches: DataFrame | None = None) -> DataFrame:
+def link(
+    spark: SparkSession, met: DataFrame, facts: DataFrame, near: Column, sets: Sets, percent: int, sketches: DataFrame | None = None,
+    closer: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Components ``(node, component)`` under similarity of the nodes that meet in ``met(key, node)``.
 
     First each node is compared with one leader per key, by one of ``LEADERS`` orders of the nodes, so a
@@ -287,7 +290,8 @@ def link(spark: SparkSession, met: DataFrame, facts: DataFrame, near: Column, se
 
     ``facts(node, ...)`` has what the condition ``near`` on ``a`` and ``b`` reads; ``sketches(node,
     n_shingles, sketch)``, if given, rule out more pairs before ``sets`` gives the ``members`` of the nodes
-    it is handed.
+    it is handed. ``closer(mixed)``, if given, turns the rows ``(key, node, label, main, ...)`` of keys that stay mixed
+    into rows with keys of its own, by which similar nodes of different components still meet.
     """
     mask = F.xxhash64(F.pmod(F.col("key"), F.lit(LEADERS))).bitwiseAND(F.lit((1 << 63) - 1))
     leader = met.groupBy("key").agg(F.min(F.col("node").bitwiseXOR(mask)).alias("a")).withColumn("a", F.col("a").bitwiseXOR(mask))
@@ -299,18 +303,25 @@ def link(spark: SparkSession, met: DataFrame, facts: DataFrame, near: Column, se
     placed = keep(spark, placed, "placed")
     sizes = placed.groupBy("key", "label").agg(F.count("*").alias("c"))
     mixed = sizes.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
-    mixed = placed.join(mixed.select("key", F.col("top.label").alias("main")), "key")
-    mixed = keep(spark, mixed.join(facts, "node"), "mixed")
+    mixed = mixed.select("key", F.col("top.label").alias("main"))
+    if closer is not None:
+        far, placed = placed, keep(spark, closer(placed.join(mixed, "key").join(facts, "node")), "closer")
+        drop(spark, far)
+        mixed = placed.select("key", "main").distinct()
+        placed = placed.select("key", "node", "label")
+    # few nodes are outside the main component of a key; only they are brought to the others
+    few = placed.alias("p").join(mixed.alias("m"), (F.col("p.key") == F.col("m.key")) & (F.col("p.label") != F.col("m.main")))
+    few = keep(spark, few.select("p.key", "p.node", "p.label", "m.main").join(facts, "node"), "few")
+    met_again = (F.col("a.key") == F.col("b.key")) & (F.col("a.label") != F.col("b.label"))
+    once = (F.col("b.label") == F.col("a.main")) | (F.col("a.node") < F.col("b.node"))
     others = (
-        mixed.where("label <> main").alias("a").join(mixed.alias("b"), "key")
-        .where("a.label <> b.label and (b.label = b.main or a.node < b.node)")
-        .where(near)
+        few.alias("a").join(placed.join(facts, "node").alias("b"), met_again & once & near)
         .select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))
         .distinct()
         .join(pairs, ["a", "b"], "left_anti")
     )
     more = _verify(spark, others, facts, near, sets, percent, sketches)
-    drop(spark, placed, mixed)
+    drop(spark, placed, few)
     return groups if more.isEmpty() else components(spark, similar.union(more))
 
 
