@@ -33,7 +33,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraph_dedup.paragraph_dedup(spark, table(spark, sf_dir, "documents"))
+    return paragraph_dedup.repeated_text(spark, table(spark, sf_dir, "documents"))
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
