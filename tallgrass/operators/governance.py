@@ -37,11 +37,11 @@ IDENTIFIERS = {
 UNCLASSIFIED = "unclassified"  # behind all tiers: no release reaches it
 
 
-def sensitivity_scan(items: DataFrame, id_column: str, *texts: str) -> DataFrame:
-    """One flag per identifier class and ``is_identifier`` over all of them, from the whole text."""
+def sensitivity_scan(items: DataFrame, id_column: str, *texts: str, also: Sequence[str] = ()) -> DataFrame:
+    """One flag per identifier class and ``is_identifier`` over all of them, from the whole text; ``also`` stays as it is."""
     whole = F.lower(F.concat_ws(" ", *texts))
     flags = [whole.rlike(p).alias(name) for name, p in IDENTIFIERS.items()]
-    scanned = items.select(id_column, *flags)
+    scanned = items.select(id_column, *also, *flags)
     return scanned.withColumn("is_identifier", F.expr(" OR ".join(IDENTIFIERS)))
 
 
@@ -52,12 +52,9 @@ def scan_summary(scanned: DataFrame) -> DataFrame:
     return counted.unpivot([], names, "identifier", "n")
 
 
-def pii_flag_audit(flags: DataFrame, scanned: DataFrame, id_column: str) -> DataFrame:
-    """Items flagged and found, found only, flagged only, neither. ``flags`` has ``pii`` as text."""
-    flagged = F.lower(F.coalesce("pii", F.lit(""))) == "yes"
-    both = flags.select(id_column, flagged.alias("flagged")).join(
-        scanned.select(id_column, "is_identifier"), id_column
-    )
+def pii_flag_audit(scanned: DataFrame) -> DataFrame:
+    """Items flagged and found, found only, flagged only, neither. ``scanned`` has the flag ``pii`` as text as well."""
+    both = scanned.select((F.lower(F.coalesce("pii", F.lit(""))) == "yes").alias("flagged"), "is_identifier")
     return both.agg(
         F.count_if(F.expr("flagged AND is_identifier")).alias("flag_and_scan"),
         F.count_if(F.expr("NOT flagged AND is_identifier")).alias("scan_only"),
