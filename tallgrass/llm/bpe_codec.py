@@ -20,15 +20,16 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tallgrass.llm.merges import NONE, Merges, byte_letters, text_slices
 from tallgrass.llm.token_counts import PLAIN
 
-# fixed values: the word pattern and the word end of the vocabulary
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# fixed value: the word end of the vocabulary
 END = "</w>"
 STOP = "\x01"  # stands for the word end inside the matcher; no byte is spelled like it
 _L = r"a-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+# fixed value: the word pattern
 PLAIN_WORDS = rf"[{_L}]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^\s0-9{_L}]+"  # where PLAIN holds
 KEPT = 250_000  # words whose encoding a worker remembers
 
@@ -60,8 +61,10 @@ class Codec:
 
     _own: dict[str, Codec] = {}
 
-    def __init__(self, merges: Merges) -> None:
+    def __init__(self, merges: Merges, library: str) -> None:
         self.merges = merges
+        tokenizer = Tokenizer.from_str(library)
+        self.normalize, self.cut_words = tokenizer.normalizer.normalize_str, tokenizer.pre_tokenizer.pre_tokenize_str
         self.letters = byte_letters()
         ids = {t: i for i, t in enumerate(merges.tokens) if t and t not in merges.special}
         self.ids = ids
@@ -70,14 +73,14 @@ class Codec:
             key = token.removesuffix(END) + STOP if token.endswith(END) and token != END else token
             self.matcher.add_word(key, (len(key), i))
         self.matcher.make_automaton()
-        self.any, self.plain = regex.compile(WORDS).findall, re.compile(PLAIN_WORDS).findall
+        self.plain = re.compile(PLAIN_WORDS).findall
         self.special = regex.compile("|".join(regex.escape(s) for s in merges.special))
         self.known: dict[str, tuple[int, bytes, str]] = {}
 
     @classmethod
-    def of(cls, path: str, merges: Merges) -> Codec:
+    def of(cls, path: str, merges: Merges, library: str) -> Codec:
         if path not in cls._own:
-            cls._own[path] = cls(merges)
+            cls._own[path] = cls(merges, library)
         return cls._own[path]
 
     def normal(self, text: str) -> str:
@@ -89,8 +92,13 @@ class Codec:
         return text.replace("Σ", "σ").lower()
 
     def split(self, text: str) -> list[str]:
-        text = self.normal(text)
-        return self.plain(text) if PLAIN(text) else self.any(text)
+        """Words; where case, letters and digits are a matter of the library's Unicode tables, it says itself."""
+        if PLAIN(text):
+            text = self.normal(text)
+            if PLAIN(text):
+                return self.plain(text)
+        text = self.normalize(text)
+        return [text[a:b] for _, (a, b) in self.cut_words(text)]
 
     def propose(self, spelled: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Leftmost-longest tokens of all words, their word numbers, and whether they cover each word."""
@@ -169,11 +177,13 @@ def encode(docs: DataFrame, path: str, digest: bool = False) -> DataFrame:
     columns are ignored; empty in, empty out.
     """
     merges = docs.sparkSession.sparkContext.broadcast(Merges.read(path))
+    with open(path, encoding="utf-8") as file:
+        library = docs.sparkSession.sparkContext.broadcast(file.read())
     kinds = ("ids_sha256 string, decoded_sha256 string" if digest else "ids binary, decoded string")
     names = ["doc_id", "n_tokens", *(k.split()[0] for k in kinds.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec.of(path, merges.value)
+        codec = Codec.of(path, merges.value, library.value)
         for batch in batches:
             for first, texts in text_slices(batch.column(1)):
                 n, ids, decoded = [], [], []

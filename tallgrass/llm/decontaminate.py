@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrass.llm import arrays
+from tallgrass.llm.graph import keep
 
 BLOCK = 4 << 20  # bytes of test items searched for in one pass over the documents
 BITS = 22  # of the table that most places of a document are turned away by
@@ -100,10 +102,10 @@ class Index:
     item: np.ndarray
 
     @classmethod
-    def build(cls, items: list[tuple[int, bytes]], percent: int) -> Index:
-        pieces = []
+    def build(cls, items: list[tuple[int, bytes]], percent: int, least: int) -> Index:
+        pieces, budget = [], [len(t) * percent // 100 if len(t) >= least else 0 for _, t in items]
         for number, (_, text) in enumerate(items):
-            count = len(text) * percent // 100 + 1
+            count = budget[number] + 1
             borders = [len(text) * i // count for i in range(count + 1)]
             pieces += [(text[a : a + GRAM], text[b - GRAM : b], b - a, a, number) for a, b in zip(borders, borders[1:], strict=False)]
         first, last = (np.frombuffer(b"".join(p[i] for p in pieces), dtype="<u8") for i in (0, 1))
@@ -111,7 +113,7 @@ class Index:
         order = np.argsort(first, kind="stable")
         distinct, begin = np.unique(first[order], return_index=True)
         return cls(
-            [i for i, _ in items], [t for _, t in items], [len(t) * percent // 100 for _, t in items],
+            [i for i, _ in items], [t for _, t in items], budget,
             distinct, np.r_[begin, len(order)], last[order], size[order], place[order], item[order],
         )
 
@@ -134,6 +136,18 @@ class Index:
         return text, self.item[piece], at - self.place[piece]
 
 
+def _whole(text: bytes, item: bytes, starts: list[int]) -> tuple[int, int, int] | None:
+    """First supposed start where the item stands with no letter, digit or byte outside ASCII beside it."""
+    for start in sorted(starts):
+        stop = start + len(item)
+        if start >= 0 and text[start:stop] == item and not _INSIDE[text[start - 1 : start] or b" "] and not _INSIDE[text[stop : stop + 1] or b" "]:
+            return 0, start, stop
+    return None
+
+
+_INSIDE = {bytes([b]): b >= 0x80 or chr(b).isalnum() for b in range(256)}
+
+
 def _verify(index: Index, text: bytes, item: int, starts: list[int]) -> tuple[int, int, int]:
     """Best distance of the item near the supposed starts, with begin and end of the part."""
     want, k = index.items[item], index.budget[item]
@@ -163,30 +177,35 @@ def find_items(spark: SparkSession, docs: DataFrame, items: DataFrame, percent:
     One row per document row and item, with the best part.
 
     Items are read in blocks of ``BLOCK`` bytes, each searched for over all documents: the block is what
-    is broadcast, so its size is bounded whatever the benchmark's. Items of under ``least`` bytes prove
-    nothing and match nothing; so do null items. Null or empty documents hold nothing; a null
-    ``doc_id`` and repeated rows are judged like others; other columns are ignored. No items or no
-    documents, no rows.
+    is broadcast, so its size is bounded whatever the benchmark's; with several blocks the matches of one are
+    written before the next is read. Items of under ``least`` bytes are held only where they stand word for word,
+    with no letter or digit beside them; those of under ``GRAM`` bytes are single words that prove nothing and match
+    nothing; so do null items. Null or empty documents hold nothing; a null ``doc_id`` and repeated rows are judged
+    like others; other columns are ignored; very long documents are searched whole. No items or no documents, no
+    rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = spark.createDataFrame([], _RESULT)
+    found: list[DataFrame] = []
     block: list[tuple[int, bytes]] = []
     size = 0
     for row in items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
         raw = np.frombuffer(row[1].encode(), dtype=np.uint8)
         text = normal(raw, np.array([0, len(raw)]))[0].tobytes()
-        if len(text) < least:
+        if len(text) < GRAM:
             continue
-        block.append((row[0], text))
-        size += len(text)
         if size >= BLOCK:
-            found = found.union(_search(spark, docs, block, percent))
+            found.append(_search(spark, docs, block, percent, least, last=False))
             block, size = [], 0
-    return found.union(_search(spark, docs, block, percent)) if block else found
+        block.append((row[0], text))
+        size += len(text)
+    if block:
+        found.append(_search(spark, docs, block, percent, least, last=True))
+    return reduce(DataFrame.union, found) if found else spark.createDataFrame([], _RESULT)
 
 
-def _search(spark: SparkSession, docs: DataFrame, block: list[tuple[int, bytes]], percent: int) -> DataFrame:
-    shared = spark.sparkContext.broadcast(Index.build(block, percent))
+def _search(spark: SparkSession, docs: DataFrame, block: list[tuple[int, bytes]], percent: int, least: int, last: bool) -> DataFrame:
+    """Matches of one block; written at once, and its broadcast given up, unless it is the last."""
+    shared = spark.sparkContext.broadcast(Index.build(block, percent, least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
@@ -202,10 +221,20 @@ def _search(spark: SparkSession, docs: DataFrame, block: list[tuple[int, bytes]]
                     places[text, item].add(start - int(offsets[text]))
                 for (text, item), starts in places.items():
                     own = data[offsets[text] : offsets[text + 1]].tobytes()
+                    if len(index.items[item]) < least:
+                        whole = _whole(own, index.items[item], list(starts))
+                        if whole is not None:
+                            rows.append((ids[first + text].as_py(), index.ids[item], *whole))
+                        continue
                     distance, begin, end = _verify(index, own, item, list(starts))
                     if distance <= index.budget[item]:
                         rows.append((ids[first + text].as_py(), index.ids[item], distance, begin, end))
             if rows:
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "item_id", "distance", "start", "stop"])
 
-    return docs.mapInArrow(run, _RESULT)
+    matches = docs.mapInArrow(run, _RESULT)
+    if last:
+        return matches
+    written = keep(spark, matches, "matches")
+    shared.unpersist()
+    return written

@@ -17,12 +17,13 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tallgrass.llm.merges import Merges, byte_letters, text_slices
 
 # fixed value: the pattern that splits text before the merges of byte-level vocabularies
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# the same over texts of ASCII and Latin letters up to U+024F, where \p{L} and \p{N} are plain ranges
+# the same, split here rather than by the library, over texts of ASCII and Latin letters up to U+024F, where \p{L} and \p{N} are plain ranges
 PLAIN = re.compile(r"[\x00-\x1b\x20-\x7e\xc0-\u024f]*").fullmatch
 _L = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
 PLAIN_PATTERN = rf" ?[{_L}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s0-9{_L}]+|\s+(?!\S)|\s+"
@@ -34,18 +35,19 @@ class Counter:
 
     _own: dict[str, Counter] = {}
 
-    def __init__(self, merges: Merges) -> None:
+    def __init__(self, merges: Merges, library: str) -> None:
         self.merges = merges
+        self.cut = Tokenizer.from_str(library).pre_tokenizer.pre_tokenize_str
         letters = {token: i for i, token in enumerate(merges.tokens)}
         self.base = np.array([letters[c] for c in byte_letters()], dtype=np.int64)
-        self.any, self.plain = regex.compile(PATTERN).findall, re.compile(PLAIN_PATTERN).findall
+        self.plain = re.compile(PLAIN_PATTERN).findall
         self.special = regex.compile("|".join(regex.escape(s) for s in merges.special)) if merges.special else None
         self.known: dict[str, int] = {}
 
     @classmethod
-    def of(cls, path: str, merges: Merges) -> Counter:
+    def of(cls, path: str, merges: Merges, library: str) -> Counter:
         if path not in cls._own:
-            cls._own[path] = cls(merges)
+            cls._own[path] = cls(merges, library)
         return cls._own[path]
 
     def learn(self, pieces: list[str]) -> None:
@@ -57,7 +59,8 @@ class Counter:
             self.known.update(zip([pieces[i] for i in owner], size.tolist(), strict=True))
 
     def split(self, text: str) -> list[str]:
-        return self.plain(text) if PLAIN(text) else self.any(text)
+        """Pre-tokens; where letters and digits are a matter of the library's Unicode tables, it says itself."""
+        return self.plain(text) if PLAIN(text) else [text[a:b] for _, (a, b) in self.cut(text)]
 
     def pieces(self, text: str) -> tuple[list[str], int]:
         """Pre-tokens, and how many special strings stand between them."""
@@ -85,9 +88,11 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     empty in, empty out. Texts are cut and counted whole, however long.
     """
     merges = docs.sparkSession.sparkContext.broadcast(Merges.read(path))
+    with open(path, encoding="utf-8") as file:
+        library = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter.of(path, merges.value)
+        counter = Counter.of(path, merges.value, library.value)
         for batch in batches:
             sizes = pc.binary_length(batch.column(1)).fill_null(0).cast(pa.int64())
             for first, texts in text_slices(batch.column(1)):

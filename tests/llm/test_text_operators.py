@@ -357,6 +357,24 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.find_items(spark, docs, items).count() == 0
 
 
+def test_short_items_are_held_word_for_word(spark, monkeypatch):
+    short = [(1, "What is seven times eight?"), (2, "Capital of\nFrance"), (3, "eight by"), (4, "tiny"), (5, "x" * 39), (6, None), (7, "what is seven times eight?")]
+    texts = [
+        (1, "So: WHAT is  seven\ntimes eight? 56."), (2, "the capital of france, Paris"), (3, "capital of francexx capital of france"), (4, "aeight by"), (5, "eight byé eight by"),
+        (6, "What is seven times eighty?"), (7, "x" * 40), (8, "x" * 39), (9, "What is seven times eight"), (10, None), (None, "eight by"), (None, "eight by"), (11, prose(71, 400) + " eight by."),
+    ]
+    own = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    items = spark.createDataFrame(short, "item_id long, text string")
+
+    def found():
+        return counted((r.doc_id, r.item_id, r.distance) for r in decontaminate.find_items(spark, own, items).collect())
+
+    want = counted([(1, 1, 0), (1, 7, 0), (2, 2, 0), (3, 2, 0), (5, 3, 0), (8, 5, 0), (None, 3, 0), (None, 3, 0), (11, 3, 0)])
+    assert found() == want
+    monkeypatch.setattr(decontaminate, "BLOCK", 1)  # a block for each item
+    assert found() == want
+
+
 def test_pipeline_stages_on_awkward_rows(spark, docs, empty, tmp_path):
     spark.createDataFrame([(1, prose(1, 300)[:300])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     for name, stage in corpus_pipeline.STAGES[:-1]:
