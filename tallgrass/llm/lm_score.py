@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.llm import arrays
 from tallgrass.llm.collide import _runs
-from tallgrass.llm.graph import keep
+from tallgrass.llm.graph import keep, sweep
 
 BASE = 1.5  # of the logarithm that levels are taken by
 LEVELS = 64
@@ -80,6 +80,21 @@ def _split(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(part[order[a]]), order[a:b]
 
 
+def _squeeze(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on in the narrowest kind that holds them, compressed."""
+    most = int(values.max()) if len(values) else 0
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+    raw = values.astype(f"<u{width}").tobytes()
+    return bytes([width]) + len(values).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+
+
+def _spread(packed: bytes) -> np.ndarray:
+    """What ``_squeeze`` was given."""
+    width, count = packed[0], int.from_bytes(packed[1:9], "little")
+    raw = pa.decompress(packed[9:], decompressed_size=width * count, codec="zstd", asbytes=True) if count else b""
+    return np.frombuffer(raw, dtype=f"<u{width}").astype(np.int64)
+
+
 class Filter:
     """The log-frequency Bloom filter, in one segment per part."""
 
@@ -251,6 +266,7 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     model = keep(spark, _model(_counts(docs, parts), parts), "counts")
+    sweep(spark)
     size = model.agg(F.coalesce(F.sum("words"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum(F.octet_length("segment")), F.lit(0))).first()
     distinct, total = int(size[0]), int(size[1])
     segments: list[np.ndarray | None] = [None] * parts
@@ -293,8 +309,8 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
                 if shared:
                     own["f"] = _scores(lm.count(grams), n, back, start, total + distinct + 1).tobytes()
                 else:
-                    own["f"] = np.r_[start, back].astype(np.uint32).tobytes()
-                    own["g"] = _part(grams, parts).astype(np.uint32).tobytes()
+                    own["f"] = _squeeze(np.r_[start, back])
+                    own["g"] = _squeeze(_part(grams, parts))
                     for part, places in _split(grams, parts):
                         asked.append({"part": part, "kind": _PROBE, "slice": name >> 1, "a": grams[places].tobytes(), "e": np.int64(name % parts).tobytes()})
                 rare = ~known[back]
@@ -304,8 +320,8 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
                     for part, places in _split(word[w], parts):
                         here, which = np.unique(word[w[places]], return_inverse=True)
                         asked.append({
-                            "part": part, "kind": _ASK, "slice": name >> 1, "a": here.tobytes(), "b": which.astype(np.uint32).tobytes(),
-                            "c": d[places].astype(np.uint32).tobytes(), "d": times[places].astype(np.uint32).tobytes(), "e": np.int64(name % parts).tobytes(),
+                            "part": part, "kind": _ASK, "slice": name >> 1, "a": here.tobytes(), "b": _squeeze(which),
+                            "c": _squeeze(d[places]), "d": _squeeze(times[places]), "e": np.int64(name % parts).tobytes(),
                         })
                 yield pa.RecordBatch.from_pylist(asked, schema=schema)
 
@@ -333,7 +349,7 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
                 found = {"part": int(np.frombuffer(row["e"], np.int64)[0]), "kind": _FOUND, "slice": row["slice"], "a": lm.level(asked).astype(np.uint8).tobytes(), "e": np.int64(row["part"]).tobytes()}
                 yield pa.RecordBatch.from_pylist([found], schema=schema)
                 continue
-            which, owner, times = (np.frombuffer(row[x], np.uint32).astype(np.int64) for x in "bcd")
+            which, owner, times = (_spread(row[x]) for x in "bcd")
             c = np.zeros(len(asked), dtype=np.int64)
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
@@ -341,7 +357,7 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
             texts, local = np.unique(owner, return_inverse=True)
             logs = np.bincount(local, weights=times * np.log10(c + 1)[which], minlength=len(texts))
             found = np.bincount(local, weights=times * (c > 0)[which], minlength=len(texts)).astype(np.int64)
-            told = {"part": int(np.frombuffer(row["e"], np.int64)[0]), "kind": _SUMS, "slice": row["slice"], "a": texts.tobytes(), "b": logs.tobytes(), "c": found.tobytes()}
+            told = {"part": int(np.frombuffer(row["e"], np.int64)[0]), "kind": _SUMS, "slice": row["slice"], "a": _squeeze(texts), "b": logs.tobytes(), "c": _squeeze(found)}
             yield pa.RecordBatch.from_pylist([told], schema=schema)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,17 +375,17 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
             ids = np.frombuffer(rows[0]["a"], np.int64)
             logs, known = np.zeros(len(ids)), np.zeros(len(ids), dtype=np.int64)
             for told in sums.pop(name, []):
-                at = np.frombuffer(told["a"], np.int64)
+                at = _spread(told["a"])
                 logs[at] += np.frombuffer(told["b"], np.float64)
-                known[at] += np.frombuffer(told["c"], np.int64)
+                known[at] += _spread(told["c"])
             if shared:
                 score = np.frombuffer(rows[0]["f"], np.float64)
             else:
                 told = found.pop(name)
-                where = np.argsort(np.frombuffer(rows[0]["g"], np.uint32), kind="stable")
+                where = np.argsort(_spread(rows[0]["g"]), kind="stable")
                 value = np.empty(len(where))
                 value[where] = VALUES[np.frombuffer(b"".join(told[part] for part in sorted(told)), np.uint8)]
-                back = np.frombuffer(rows[0]["f"], np.uint32).astype(np.int64)
+                back = _spread(rows[0]["f"])
                 score = _scores(value, np.frombuffer(rows[0]["c"], np.int64), back[1:], int(back[0]), total + distinct + 1)
             for row in rows:  # slices of the same content share a name, and are told the same
                 yield pa.record_batch(
