@@ -132,12 +132,10 @@ def resolve(
     axis = question_axis(lines).join(owned, "questionnaire").join(
         known.select(F.col("in_survey").alias("survey"), F.col("name").alias("question"), "concept"), ["survey", "question"]
     )
-    axis = store(axis.select("questionnaire", "survey", "question", F.col("concept"), "place"), scratch_path(spark, "axis"))
+    axis = axis.select("questionnaire", "survey", "question", F.col("concept"), "place")
 
     arms = _gate_arms(held).join(owned, "questionnaire")
-    arms = store(
-        arms.select("*", F.split("t", ";")[0].alias("name"), F.get(F.split("t", ";"), F.lit(1)).alias("second")), scratch_path(spark, "arms")
-    )
+    arms = arms.select("*", F.split("t", ";")[0].alias("name"), F.get(F.split("t", ";"), F.lit(1)).alias("second"))
 
     # where each name used in a rule leads to, per survey
     used = arms.select("survey", F.explode(F.array("name", "second")).alias("name")).where("name IS NOT NULL").distinct()
@@ -146,7 +144,7 @@ def resolve(
         F.min_by(F.struct("in_survey", "concept"), F.struct("foreign", "in_survey")).alias("at"),
         F.bool_and("foreign").alias("elsewhere"), F.count(F.lit(1)).alias("n"),
     ).where("NOT elsewhere OR n = 1")
-    found = store(found.select("survey", "name", "at.in_survey", "at.concept"), scratch_path(spark, "names"))
+    found = found.select("survey", "name", "at.in_survey", "at.concept")
 
     def looked_up(table: DataFrame, column: str, as_survey: str, as_concept: str) -> DataFrame:
         to = found.select("survey", F.col("name").alias(column), F.col("in_survey").alias(as_survey), F.col("concept").alias(as_concept))
@@ -194,7 +192,7 @@ def resolve(
     broken = broken.select("questionnaire", "line_id", "question", F.lit("question_gate").alias("mechanism"), "reason")
     return Flow(
         axis=axis.select("survey", F.col("concept").alias("question"), "place").groupBy("survey", "question").agg(F.min("place").alias("place")),
-        gates=store(gates, scratch_path(spark, "gates")),
+        gates=gates,
         jumps=jumps.where("target > place").select("survey", "question", "place", "kind", "value", "target"),
         unresolved=broken.unionByName(lost),
     )
@@ -318,12 +316,12 @@ def reachable_jumps(fact: DataFrame, participants: DataFrame, flow: Flow) -> Dat
     given = {**empty, **asked, "operator": F.lit("isDefined").alias("operator")}
     keys = ["survey", "question", "place", "kind", "target"]
     steps = flow.jumps.where("kind = 'answer'").select(*keys, *chosen.values()).unionByName(flow.jumps.where("kind <> 'answer'").select(*keys, *given.values()))
-    steps = store(_identified(steps), scratch_path(spark, "steps"))
+    steps = _identified(steps)
     named = store(gates, scratch_path(spark, "conditions"))
     columns = ["condition", "by_default", *CONDITION]
     conditions = named.select(*columns).union(steps.select(*columns)).distinct()
 
-    groups = store(_groups(named), scratch_path(spark, "groups"))
+    groups = _groups(named)
     nothing = F.array().cast(groups.schema["groups"].dataType)
     per_step = steps.groupBy("survey", "question", "place").agg(
         F.collect_list(F.when(F.col("kind") == "answer", F.struct("condition", "target"))).alias("answers"),
