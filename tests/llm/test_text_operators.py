@@ -390,6 +390,18 @@ def test_pipeline_stages_on_awkward_rows(spark, docs, empty, tmp_path):
     assert sorted(kept) == [0, 12]
 
 
+def test_pipeline_stages_keep_columns_named_like_their_own(spark, tmp_path):
+    spark.createDataFrame([(1, prose(1, 300)[:300])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    base, alone = prose(81, 300), prose(82, 300)
+    rows_ = [(1, base, 1, 2, 3, "a"), (2, base, 4, 5, 6, "b"), (3, alone + base[:900], 7, 8, 9, "c"), (4, None, 1, 1, 1, None)]
+    own = spark.createDataFrame(rows_, "doc_id long, text string, __row long, __kept long, `row name` long, kept string")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, own, str(tmp_path))
+        assert left.columns == own.columns, name
+        assert {(r[0], *r[2:]) for r in left.collect()} <= {(r[0], *r[2:]) for r in rows_}, name
+    assert spark.createDataFrame([], own.schema).transform(lambda d: corpus_pipeline.STAGES[2][1](spark, d, str(tmp_path))).count() == 0
+
+
 def test_near_duplicates_judges_rows_that_share_an_id_or_have_none(spark, tmp_path):
     base, alone, other, third = prose(40, 200), prose(41, 200), prose(42, 200), prose(43, 200)
     texts = [(1, base), (2, base), (2, alone), (3, other), (3, third), (None, base), (None, third), (None, prose(44, 90)), (None, prose(44, 90)), (4, base), (4, ""), (4, ""), (5, None)]
