@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 CLUSTER_KEYS = ("secondary_source_concept_id", "question_concept_id", "connect_id")
 
 
@@ -72,10 +73,17 @@ def store(df: DataFrame, path: str) -> DataFrame:
     """Write a table and read it back.
 
     Cuts the lineage of a result that several plans read, survives the loss of executors, and gives
-    the planner real sizes. ``path`` must be in a folder all executors share.
+    the planner real sizes. ``path`` must be in a folder all executors share. Nothing reads the shuffle
+    files of the write again, so Spark deletes them at its end instead of at some later collection.
     """
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def export_csv(df: DataFrame, path: str, keys: Sequence[str]) -> None:
