@@ -22,15 +22,6 @@ def drop(spark: SparkSession, *tables: DataFrame) -> None:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def sweep(spark: SparkSession) -> None:
-    """Have the shuffle files of finished jobs deleted now.
-
-    Spark deletes them when the driver's memory is collected next, which a job with a light driver may not see
-    before its end. Call it where a large stage has been written and none of its shuffles is read again.
-    """
-    spark._jvm.System.gc()
-
-
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``links(a, b)``; a component is named by its smallest node.
 

@@ -291,7 +291,8 @@ def link(
     ``facts(node, ...)`` has what the condition ``near`` on ``a`` and ``b`` reads; ``sketches(node,
     n_shingles, sketch)``, if given, rule out more pairs before ``sets`` gives the ``members`` of the nodes
     it is handed. ``closer(mixed)``, if given, turns the rows ``(key, node, label, main, ...)`` of keys that stay mixed
-    into rows with keys of its own, by which similar nodes of different components still meet.
+    into rows whose keys are members of the sets in one order for all, with the member's place ``at``: similar nodes of
+    different components still meet by one, and what is left behind it in both sets bounds what they share.
     """
     mask = F.xxhash64(F.pmod(F.col("key"), F.lit(LEADERS))).bitwiseAND(F.lit((1 << 63) - 1))
     leader = met.groupBy("key").agg(F.min(F.col("node").bitwiseXOR(mask)).alias("a")).withColumn("a", F.col("a").bitwiseXOR(mask))
@@ -304,18 +305,22 @@ def link(
     sizes = placed.groupBy("key", "label").agg(F.count("*").alias("c"))
     mixed = sizes.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
     mixed = mixed.select("key", F.col("top.label").alias("main"))
+    fit = near
     if closer is not None:
         far, placed = placed, keep(spark, closer(placed.join(mixed, "key").join(facts, "node")), "closer")
         drop(spark, far)
         mixed = placed.select("key", "main").distinct()
-        placed = placed.select("key", "node", "label")
+        placed = placed.select("key", "node", "label", "at")
+        na, nb = F.col("a.n_shingles"), F.col("b.n_shingles")
+        room = F.least(na - F.col("a.at"), nb - F.col("b.at")) + 1
+        fit = near & ((100 + percent) * room >= percent * (na + nb))
     # few nodes are outside the main component of a key; only they are brought to the others
     few = placed.alias("p").join(mixed.alias("m"), (F.col("p.key") == F.col("m.key")) & (F.col("p.label") != F.col("m.main")))
-    few = keep(spark, few.select("p.key", "p.node", "p.label", "m.main").join(facts, "node"), "few")
+    few = keep(spark, few.select("p.*", "m.main").join(facts, "node"), "few")
     met_again = (F.col("a.key") == F.col("b.key")) & (F.col("a.label") != F.col("b.label"))
     once = (F.col("b.label") == F.col("a.main")) | (F.col("a.node") < F.col("b.node"))
     others = (
-        few.alias("a").join(placed.join(facts, "node").alias("b"), met_again & once & near)
+        few.alias("a").join(placed.join(facts, "node").alias("b"), met_again & once & fit)
         .select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))
         .distinct()
         .join(pairs, ["a", "b"], "left_anti")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.llm import arrays
 from tallgrass.llm.collide import Entries, repeated
-from tallgrass.llm.graph import keep
+from tallgrass.llm.graph import drop, keep
 from tallgrass.llm.jaccard_join import link
 
 SHINGLE = 5
@@ -127,7 +127,7 @@ def _closer(sets, percent: int):
     """Mixed rows by the rarest shingles of their paragraphs instead of their bands.
 
     Of ``n`` shingles, ordered by how many of the paragraphs hold them, the first ``n - ceil(n percent / 100) + 1`` are
-    keys: two similar sets differ in fewer, so they share one of those.
+    keys: two similar sets differ in fewer, so they share one of those. ``at`` is the shingle's place in that order.
     """
 
     def run(mixed: DataFrame) -> DataFrame:
@@ -138,11 +138,12 @@ def _closer(sets, percent: int):
         ordered = tokens.join(held, "key").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("held", "key"))).alias("all"))
         size = F.size("all")
         rarest = F.slice("all", F.lit(1), (size - F.ceil(size * percent / 100) + 1).cast("int"))
-        keys = ordered.select("node", F.explode(rarest).alias("k")).where("k.held > 1").select("node", F.col("k.key").alias("key"))
+        keys = ordered.select("node", F.posexplode(rarest).alias("place", "k")).where("k.held > 1")
+        keys = keys.select("node", F.col("k.key").alias("key"), (F.col("place") + 1).alias("at"))
         placed = keys.join(nodes, "node")
         sizes = placed.groupBy("key", "label").agg(F.count("*").alias("c"))
         still = sizes.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
-        return placed.join(still.select("key", F.col("top.label").alias("main")), "key").select("key", "main", *facts)
+        return placed.join(still.select("key", F.col("top.label").alias("main")), "key").select("key", "main", "at", *facts)
 
     return run
 
@@ -202,7 +203,9 @@ def passages(docs: DataFrame, least: int = PASSAGE) -> DataFrame:
             yield digest & ~_U(LONGEST) | np.minimum(size, LONGEST).astype(np.uint64), ids[first + text], at
 
     chunk = repeated(docs, emit).select("key", "doc_id", F.col("place").alias("word"), F.col("key").bitwiseAND(LONGEST).alias("size"))
-    first = chunk.groupBy("key").agg(F.min(F.struct("doc_id", "word")).alias("head"))
+    # stored, so that the join below is one by itself and a hot chunk's rows are split
+    chunk = keep(docs.sparkSession, chunk, "chunks")
+    first = keep(docs.sparkSession, chunk.groupBy("key").agg(F.min(F.struct("doc_id", "word")).alias("head")), "heads")
     told = chunk.join(first, "key").select("*", (F.struct("doc_id", "word") != F.col("head")).alias("removed"))
     order = Window.partitionBy("doc_id").orderBy("word")
     new = (F.lag(F.col("word") + F.col("size")).over(order).eqNullSafe(F.col("word"))) & F.lag("removed").over(order).eqNullSafe(F.col("removed"))
@@ -247,7 +250,8 @@ def paragraph_dedup(spark: SparkSession, docs: DataFrame, least: int = 20) -> Da
 
     na, nb = F.col("a.n_shingles"), F.col("b.n_shingles")
     near = 100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)
-    groups = link(spark, met, facts.drop("doc_id"), near, sets, PERCENT, closer=_closer(sets, PERCENT))
+    groups = keep(spark, link(spark, met, facts.drop("doc_id"), near, sets, PERCENT, closer=_closer(sets, PERCENT)), "groups")
+    drop(spark, met, facts)
     named = table.select("doc_id", "line", "first_word", "n_words", "node").join(groups, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
     clusters = named.groupBy("cluster").agg(F.min(F.struct("doc_id", "line")).alias("head"), F.count("*").alias("c")).where("c > 1")
     return named.join(clusters, "cluster").select(
