@@ -255,21 +255,34 @@ def _participants(fact: DataFrame, conditions: DataFrame) -> DataFrame:
     return state.select("connect_id", "holds", F.array_except("met", "holds").alias("blocked"))
 
 
-def _groups(gates: DataFrame) -> DataFrame:
-    """``survey, question, groups``: per group its conditions and those of them that hold by default."""
+def _groups(gates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``survey, question, ids`` with the groups of each question, and ``survey, groups`` with all different ones.
+
+    A group has its conditions and those of them that hold by default. Questions share groups, so a survey has
+    far fewer than its questions have together.
+    """
     per_group = gates.groupBy("survey", "question", "group_no").agg(
-        F.collect_set("condition").alias("any_of"), F.collect_set(F.when(F.col("by_default"), F.col("condition"))).alias("defaults")
-    )
-    return per_group.groupBy("survey", "question").agg(F.collect_list(F.struct("any_of", "defaults")).alias("groups"))
+        F.array_sort(F.collect_set("condition")).alias("any_of"),
+        F.array_sort(F.collect_set(F.when(F.col("by_default"), F.col("condition")))).alias("defaults"),
+    ).withColumn("id", F.xxhash64("any_of", "defaults"))
+    questions = per_group.groupBy("survey", "question").agg(F.collect_set("id").alias("ids"))
+    surveys = per_group.groupBy("survey").agg(F.collect_set(F.struct("id", "any_of", "defaults")).alias("groups"))
+    return questions, surveys
 
 
-def _open(groups: Column) -> Column:
-    """Whether every group has an arm that holds, for the participant of the row."""
-    return F.forall(
-        groups,
-        lambda g: F.arrays_overlap(g["any_of"], F.col("holds"))
-        | ((F.size(g["defaults"]) > 0) & (F.size(F.array_except(g["defaults"], F.col("blocked"))) > 0)),
-    )
+def _open_groups() -> Column:
+    """Ids of the groups of the row's survey with an arm that holds for its participant."""
+
+    def is_open(g: Column) -> Column:
+        by_default = (F.size(g["defaults"]) > 0) & (F.size(F.array_except(g["defaults"], F.col("blocked"))) > 0)
+        return F.arrays_overlap(g["any_of"], F.col("holds")) | by_default
+
+    return F.transform(F.filter("groups", is_open), lambda g: g["id"])
+
+
+def _open(ids: Column) -> Column:
+    """Whether all groups ``ids`` are among those open to the participant of the row."""
+    return F.size(F.array_except(ids, F.col("open"))) == 0
 
 
 def _with_state(fact: DataFrame, participants: DataFrame, conditions: DataFrame) -> DataFrame:
@@ -291,11 +304,12 @@ def reachable(fact: DataFrame, participants: DataFrame, gates: DataFrame) -> Dat
     spark = fact.sparkSession
     named = store(_identified(gates), scratch_path(spark, "conditions"))
     conditions = named.select("condition", "by_default", *CONDITION).distinct()
-    asked = _groups(named).groupBy("survey").agg(F.collect_list(F.struct("question", "groups")).alias("asked"))
-    asked = store(asked, scratch_path(spark, "asked"))
-    state = _with_state(fact, participants, conditions).join(asked, "survey")
-    shown = F.transform("asked", lambda q: F.struct(q["question"].alias(QUESTION), _open(q["groups"]).alias("is_shown")))
-    return state.select("connect_id", F.col("survey").alias(SURVEY), F.inline(shown))
+    questions, groups = _groups(named)
+    asked = questions.groupBy("survey").agg(F.collect_list(F.struct("question", "ids")).alias("asked"))
+    surveys = store(asked.join(groups, "survey"), scratch_path(spark, "asked"))
+    state = _with_state(fact, participants, conditions).join(surveys, "survey").withColumn("open", _open_groups())
+    rows = state.select("connect_id", F.col("survey").alias(SURVEY), "open", F.inline("asked"))
+    return rows.select("connect_id", SURVEY, F.col("question").alias(QUESTION), _open(F.col("ids")).alias("is_shown"))
 
 
 def reachable_jumps(fact: DataFrame, participants: DataFrame, flow: Flow) -> DataFrame:
@@ -321,20 +335,20 @@ def reachable_jumps(fact: DataFrame, participants: DataFrame, flow: Flow) -> Dat
     columns = ["condition", "by_default", *CONDITION]
     conditions = named.select(*columns).union(steps.select(*columns)).distinct()
 
-    groups = _groups(named)
-    nothing = F.array().cast(groups.schema["groups"].dataType)
+    gated, groups = _groups(named)
+    ids = F.coalesce("ids", F.array().cast("array<bigint>")).alias("ids")
     per_step = steps.groupBy("survey", "question", "place").agg(
         F.collect_list(F.when(F.col("kind") == "answer", F.struct("condition", "target"))).alias("answers"),
         F.max(F.when(F.col("kind") != "answer", F.col("condition"))).alias("answered"),
         F.min(F.when(F.col("kind") == "no_response", F.col("target"))).alias("no_response"),
         F.min(F.when(F.col("kind") == "unconditional", F.col("target"))).alias("plain"),
-    ).join(groups, ["survey", "question"], "left")
-    step = F.struct("place", "answers", "answered", "no_response", "plain", F.coalesce("groups", nothing).alias("groups"))
+    ).join(gated, ["survey", "question"], "left")
+    step = F.struct("place", "answers", "answered", "no_response", "plain", ids)
     paths = per_step.groupBy("survey").agg(F.array_sort(F.collect_list(step)).alias("steps"))
-    axis = flow.axis.join(groups, ["survey", "question"], "left").groupBy("survey").agg(
-        F.array_sort(F.collect_list(F.struct("place", "question", F.coalesce("groups", nothing).alias("groups")))).alias("axis")
+    axis = flow.axis.join(gated, ["survey", "question"], "left").groupBy("survey").agg(
+        F.array_sort(F.collect_list(F.struct("place", "question", ids))).alias("axis")
     )
-    surveys = store(axis.join(paths, "survey", "left"), scratch_path(spark, "paths"))
+    surveys = store(axis.join(paths, "survey", "left").join(groups, "survey", "left"), scratch_path(spark, "paths"))
 
     begin = F.struct(F.lit(0).cast("bigint").alias("open"), F.array().cast("array<struct<past:bigint,upto:bigint>>").alias("closed"))
 
@@ -347,15 +361,16 @@ def reachable_jumps(fact: DataFrame, participants: DataFrame, flow: Flow) -> Dat
         )
 
     def fold(s: Column, x: Column) -> Column:
-        goes = (x["place"] >= s["open"]) & _open(x["groups"]) & taken(x).isNotNull()
+        goes = (x["place"] >= s["open"]) & _open(x["ids"]) & taken(x).isNotNull()
         stretch = F.array(F.struct(x["place"].cast("bigint").alias("past"), taken(x).cast("bigint").alias("upto")))
         return F.when(goes, F.struct(taken(x).cast("bigint").alias("open"), F.concat(s["closed"], stretch).alias("closed"))).otherwise(s)
 
+    none_yet = F.array().cast(surveys.schema["steps"].dataType)
     walked = _with_state(fact, participants, conditions).join(surveys, "survey")
-    walked = walked.withColumn("closed", F.aggregate(F.coalesce("steps", F.array().cast(surveys.schema["steps"].dataType)), begin, fold)["closed"])
-
-    def judged(q: Column) -> Column:
-        is_open = ~F.exists("closed", lambda c: (c["past"] < q["place"]) & (q["place"] < c["upto"]))
-        return F.struct(q["question"].alias(QUESTION), is_open.alias("is_open"), (is_open & _open(q["groups"])).alias("is_shown"))
-
-    return walked.select("connect_id", F.col("survey").alias(SURVEY), F.inline(F.transform("axis", judged)))
+    walked = walked.withColumn("open", F.coalesce(_open_groups(), F.array().cast("array<bigint>")))
+    walked = walked.withColumn("closed", F.aggregate(F.coalesce("steps", none_yet), begin, fold)["closed"])
+    rows = walked.select("connect_id", F.col("survey").alias(SURVEY), "open", "closed", F.inline("axis"))
+    is_open = ~F.exists("closed", lambda c: (c["past"] < F.col("place")) & (F.col("place") < c["upto"]))
+    return rows.select(
+        "connect_id", SURVEY, F.col("question").alias(QUESTION), is_open.alias("is_open"), (is_open & _open(F.col("ids"))).alias("is_shown")
+    )
