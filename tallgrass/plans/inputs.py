@@ -24,7 +24,6 @@ from tallgrass.schema import (
     STATUS_SUBMITTED,
     YES,
 )
-from tallgrass.sources.readers import read_markup
 from tallgrass.sources.writers import store
 
 SURVEY_A, SURVEY_B, SURVEY_C = "300000001", "300000002", "300000003"
@@ -39,11 +38,19 @@ ENGLISH, SPANISH = "163149180", "773342525"
 _schemas: dict[tuple[int, str, str], StructType] = {}
 
 
+def _state(spark: SparkSession, path: str) -> str | None:
+    """When a file or folder was last written and how long it is; None if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return None
+    status = files.getFileStatus(place)
+    return f"{path} {status.getModificationTime()} {status.getLen()}"
+
+
 def _schema(spark: SparkSession, path: str) -> StructType:
     """A file's schema, looked up again when the file has been written anew."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    state = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place)
-    key = id(spark), path, f"{state.getModificationTime()}-{state.getLen()}"
+    key = id(spark), path, str(_state(spark, path))
     if key not in _schemas:
         _schemas[key] = spark.read.parquet(path).schema
     return _schemas[key]
@@ -967,11 +974,27 @@ QUESTION_NAMES = [
 ]
 
 
+_flows: dict[tuple, dict[str, str]] = {}
+
+
 def flow(spark: SparkSession, sf_dir: str) -> Flow:
-    """Rules and jumps of the three modules, read from their questionnaires."""
-    said = [(name, i, line) for name, text in QUESTIONNAIRES.items() for i, line in enumerate(text.split("\n"))]
-    path = write_questionnaires(spark, rows(spark, "questionnaire string, line_id bigint, line string", said))
-    lines = read_markup(spark, path)
+    """Rules and jumps of the three modules, resolved once for a state of the dictionary and stored."""
+    key = id(spark), *(_state(spark, f"{sf_dir}/{name}.parquet") for name in ("nation", "region"))
+    known = _flows.get(key)
+    if known is None or any(_state(spark, path) is None for path in known.values()):
+        resolved = _resolved(spark, sf_dir)
+        known = {part: scratch_path(spark, part) for part in ("axis", "gates", "jumps", "unresolved")}
+        for part, path in known.items():
+            store(getattr(resolved, part), path)
+        _flows[key] = known
+    return Flow(**{part: spark.read.parquet(path) for part, path in known.items()})
+
+
+def _resolved(spark: SparkSession, sf_dir: str) -> Flow:
+    """The same from the lines of the questionnaires, numbered as ``read_markup`` does."""
+    said = [(name, i, line) for name, text in sorted(QUESTIONNAIRES.items()) for i, line in enumerate(text.split("\n"), 1)]
+    numbered = [(name, no, at, line) for at, (name, no, line) in enumerate(said, 1)]
+    lines = rows(spark, "questionnaire string, line_no bigint, line_id bigint, line string", numbered)
     surveys = rows(
         spark, "questionnaire string, secondary_source_concept_id string",
         [("module_a", SURVEY_A), ("module_b", SURVEY_B), ("module_c", SURVEY_C)],
