@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallgrass.operators import dictionary
+from tallgrass.plans import catalog
 from tallgrass.schema import DICTIONARY_POSITIONS, DICTIONARY_WIDTH, FACT, MAPPING
 from tallgrass.sources import readers, schemas, writers
+from tests.conftest import SF_DIR
 
 
 def line(**cells):
@@ -200,3 +202,13 @@ def test_export_keeps_blanks_quotes_and_line_breaks(spark, tmp_path):
     writers.export_csv(df, str(tmp_path / "csv"), ["k"])
     read = readers.read_typed_csv(spark, str(tmp_path / "csv"), df.schema)
     assert [r.text for r in read.orderBy("k").collect()] == texts
+
+
+def test_dictionary_file_gives_back_every_cell(spark, monkeypatch):
+    columns = catalog.inputs.SHEET_COLUMNS
+    texts = ["  Multiple   choice ", ' "quoted" ', "ends in \\", "a\nb", "x, y"]
+    data = [(i, *[texts[i % 5] if c in ("q_text", "q_type") else f"{c}{i}" for c in columns[1:]]) for i in range(10)]
+    sheet = spark.createDataFrame(data, "rn bigint, " + ", ".join(f"{c} string" for c in columns[1:]))
+    monkeypatch.setattr(catalog.inputs, "sheet_rows", lambda *_: sheet)
+    read = catalog.QUERIES["dictionary_file"](spark, SF_DIR).orderBy("place").collect()
+    assert [tuple(r)[1:] for r in read] == [row[1:] for row in data]
