@@ -212,3 +212,10 @@ def test_dictionary_file_gives_back_every_cell(spark, monkeypatch):
     monkeypatch.setattr(catalog.inputs, "sheet_rows", lambda *_: sheet)
     read = catalog.QUERIES["dictionary_file"](spark, SF_DIR).orderBy("place").collect()
     assert [tuple(r)[1:] for r in read] == [row[1:] for row in data]
+
+
+def test_type_census_has_the_types_that_populate_themselves(spark):
+    census = {r.question_type: r for r in catalog.QUERIES["type_census"](spark, SF_DIR).collect()}
+    found = census["Self Populates Outside of the Form"]
+    assert found.n == 1 and found.base_type == "SPECIAL_FUNCTION"
+    assert sorted(catalog.inputs.TYPE_TEXTS) == list(range(34))
