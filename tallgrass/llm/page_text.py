@@ -27,7 +27,7 @@ from tallgrass.llm.graph import drop, keep
 
 DEPTH = 256  # elements nested deeper become siblings at this depth
 TREES = 500  # distinct trees of a host that one task folds
-NODES, RARE = 20_000, 0.01  # a larger wrapper loses nodes that fewer pages hold; template needs over half
+NODES, RARE = 20_000, 0.01  # a larger wrapper loses nodes that fewer pages hold; they are told by their labels from the root
 CONTEXTS = 4  # unrelated pages that must repeat a text before it can be template
 REGION = 0.6  # share of the text that the region of an unmarked page holds
 
@@ -397,7 +397,7 @@ def merge(wrapper: Node, tree: Node) -> None:
 
 
 def prune(wrapper: Node) -> None:
-    """Drop nodes that too few pages hold to be template, where the wrapper has become large."""
+    """Drop nodes that few pages hold, where the wrapper has become large; :func:`slots` places them without it."""
     queue = [wrapper]
     for node in queue:
         queue += node.children
@@ -417,6 +417,17 @@ def aligned(wrapper: Node, tree: Node, size: int) -> list[int]:
     return places
 
 
+def slots(places: list[int], tree: str) -> list[int]:
+    """Places in the wrapper; for a node without one a negative number, the same wherever its labels from the root are."""
+    paths: list[int] = []
+    found = []
+    for place, line in zip(places, tree.split("\n"), strict=True):
+        parent, label = line.split(" ", 1)
+        paths.append(xxhash.xxh64_intdigest(label, paths[int(parent)] if paths else 0))
+        found.append(place if place >= 0 else -1 - (paths[-1] >> 1))
+    return found
+
+
 # --- Spark
 
 
@@ -463,7 +474,7 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places in the wrapper for each tree; the wrapper of a part comes before its trees (``pages`` is null)."""
+    """Slots of the nodes of each tree; the wrapper of a part comes before its trees (``pages`` is null)."""
     wrapper = None
     for batch in batches:
         hosts, names, found = [], [], []
@@ -473,8 +484,9 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 hosts.append(host)
                 names.append(name)
-                found.append(aligned(wrapper, read_tree(tree, pages), tree.count("\n") + 1))
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(names, pa.int64()), pa.array(found, pa.list_(pa.int32()))], names=["host", "tree_name", "places"])
+                places = aligned(wrapper, read_tree(tree, pages), tree.count("\n") + 1)
+                found.append(slots(places, tree) if min(places) < 0 else places)
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(names, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["host", "tree_name", "places"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -503,12 +515,12 @@ def _template(spark: SparkSession, facts: DataFrame) -> DataFrame:
     heads = partial.select("host", "part").join(wrappers.select("host", "tree"), "host")
     both = parted.unionByName(heads.withColumn("pages", F.lit(None).cast("long")), allowMissingColumns=True)
     sorted_ = both.repartition("host", "part").sortWithinPartitions("host", "part", F.col("pages").asc_nulls_first())
-    places = keep(spark, sorted_.select("host", "tree_name", "tree", "pages").mapInArrow(_align, "host string, tree_name long, places array<int>"), "places")
+    places = keep(spark, sorted_.select("host", "tree_name", "tree", "pages").mapInArrow(_align, "host string, tree_name long, places array<long>"), "places")
 
     placed = facts.select("name", "host", F.xxhash64("tree").alias("tree_name"), "nodes", "texts", "context").join(places, ["host", "tree_name"])
     cells = placed.select("name", "host", "context", "places", F.explode(F.arrays_zip("nodes", "texts")).alias("cell"))
     cells = cells.select("name", "host", "context", F.col("cell.nodes").alias("node"), F.get("places", F.col("cell.nodes")).alias("slot"), F.col("cell.texts").alias("text"))
-    cells = keep(spark, cells.where("slot >= 0 and context is not null"), "cells")
+    cells = keep(spark, cells.where("slot is not null and context is not null"), "cells")
     texts = cells.groupBy("host", "slot", "text").agg(F.count_distinct("context").alias("n")).where(F.col("n") >= CONTEXTS)
     slots = cells.groupBy("host", "slot").agg(F.count_distinct("context").alias("all"))
     fixed = keep(spark, texts.join(slots, ["host", "slot"]).where("2 * n > all").select("host", "slot", "text"), "fixed")

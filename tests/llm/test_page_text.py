@@ -150,3 +150,18 @@ def test_large_wrappers_lose_rare_nodes_only(monkeypatch):
         page_text.prune(wrapper)
     kept = {c.label: c.pages for c in wrapper.children}
     assert kept["nav"] == kept["p"] == 600 and len(kept) <= 52
+
+
+def test_large_wrappers_keep_the_template_of_rare_nodes(spark):
+    """Six of 700 pages hold a banner of their own; the host's wrapper is too large to keep its node."""
+    rows, want = [], []
+    for i in range(700):
+        parts = [prose(100 * i + k, 12) for k in range(40)]
+        names = ["z" + "".join(chr(107 + int(d)) for d in f"{i}") + "-" + "y" * k for k in range(40)]  # names without digits are labels
+        inner = "".join(f"<div class={name}>{p}</div>" for name, p in zip(names, parts, strict=True))
+        banner = "<section class=rare><p>This week the shop is open on Sunday too</p></section>" if i % 117 == 0 else ""
+        rows.append((i, f"http://large.example/{i}", f"<body><article>{inner}{banner}</article></body>"))
+        want.append((i, "\n\n".join(" ".join(p.split()) for p in parts)))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    found = sorted((r.page_id, r.text) for r in page_text.page_texts(spark, pages).collect())
+    assert found == want
