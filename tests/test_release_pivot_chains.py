@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallgrass.operators import analytics, governance, marts, reshape, versions
+from tallgrass.plans import inputs
+from tests.conftest import SF_DIR
 
 LONG = "connect_id string, question_concept_id string, answer string"
 
@@ -115,3 +117,13 @@ def test_batches_scan_once_and_give_the_same_cells(spark, plan_of, tmp_path, bat
     assert {tuple(r) for r in cells.collect()} == {(r[0], c, v) for r in rows for c, v in zip(columns, r[1:], strict=True) if v is not None}
     assert cells.count() == reshape.melt(wide, columns).count()
     assert plan_of(cells).split("(1) Scan")[0].count("Scan parquet") == 1
+
+
+def test_no_task_melts_a_whole_wide_table(spark, monkeypatch, as_set):
+    columns = ("connect_id", "source_table", "source_column", "response_value_as_string")
+    whole = as_set(inputs.fact(spark, SF_DIR), *columns)
+    monkeypatch.setattr(inputs, "ROWS_PER_TASK", 30)
+    spread = inputs.fact(spark, SF_DIR)
+    assert as_set(spread, *columns) == whole
+    per_task = spread.groupBy(F.spark_partition_id().alias("task"), "source_table").agg(F.count_distinct("connect_id").alias("n"))
+    assert max(r.n for r in per_task.collect()) <= 60
