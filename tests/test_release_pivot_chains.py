@@ -127,3 +127,15 @@ def test_no_task_melts_a_whole_wide_table(spark, monkeypatch, as_set):
     assert as_set(spread, *columns) == whole
     per_task = spread.groupBy(F.spark_partition_id().alias("task"), "source_table").agg(F.count_distinct("connect_id").alias("n"))
     assert max(r.n for r in per_task.collect()) <= 60
+
+
+def test_circles_cost_no_rounds(spark, monkeypatch):
+    stored = []
+    store = versions.store
+    monkeypatch.setattr(versions, "store", lambda df, path: stored.append(path) or store(df, path))
+    edges = [(f"c{i}", f"c{i - i % 3 + (i + 1) % 3}") for i in range(180)] + [(f"l{i}", f"l{i + 1}") for i in range(5)]
+    question = spark.createDataFrame([*[(a, "Deprecated", b) for a, b in edges], ("l5", None, None)], "question_concept_id string, status string, successor_concept_id string")
+    got = {r.question_concept_id: (r.current_question_cid, r.hops, r.in_cycle) for r in versions.successor_chains(question).collect()}
+    assert {q: got[q] for q in got if q[0] == "l"} == {f"l{i}": ("l5", 5 - i, False) for i in range(6)}
+    assert all(got[f"c{i}"] == (f"c{i}", None, True) for i in range(180))
+    assert len(stored) == 6  # edges, pointers and four rounds
