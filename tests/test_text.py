@@ -1,7 +1,9 @@
 import datetime
 import hashlib
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -93,3 +95,13 @@ def test_normalised_text_is_composed(spark, values):
 def test_plain_words(spark, raw, words):
     df = spark.createDataFrame([(raw,)], "v string")
     assert df.select(text.plain_words(F.col("v"))).first()[0] == words
+
+
+def test_composing_a_batch_holds_few_strings():
+    texts = pa.array(["é" * 2000, None, "plain"] * 1500)
+    tracemalloc.start()
+    composed = text._compose.func(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert composed.to_pylist() == ["é" * 2000, None, "plain"] * 1500
+    assert peak < 2**20
