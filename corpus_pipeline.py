@@ -61,11 +61,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes that stand elsewhere too are cut out; the document stays with the rest.
+    """Passages of 50 words or 400 bytes that stand elsewhere too are cut out; the document stays with the rest.
 
-    Texts of fewer bytes, empty and null ones stay as they are; ``n_chars`` follows the text where it is given.
+    A passage is a run of strings of 200 bytes that stand elsewhere. Shorter texts, empty and null ones stay as they
+    are; ``n_chars`` follows the text where it is given.
     """
-    found = substring_arrays.remove_repeats(spark, docs.select("doc_id", "text"), texts=True)
+    found = substring_arrays.remove_repeats(spark, docs.select("doc_id", "text"), least=200, texts=True, words=50)
     cut = found.where("n_removed > 0").select(F.col("text_id").alias(ROW), "kept").dropDuplicates([ROW])
     cut = keep(spark, cut, "cut")
     joined = docs.join(cut, F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == cut[ROW], "left")
