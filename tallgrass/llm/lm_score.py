@@ -27,6 +27,8 @@ BITS_EACH = 12  # bits of the filter per insertion
 MAX_BITS = 1 << 29  # a filter of more bits (64 MB) is not broadcast: its parts stay on the executors and are asked
 HEAVY = 1 << 16  # at most so many words have a count of N / HEAVY or more
 MIX = 0.4  # weight of the pair's share
+SHORT = 20  # bits that names of pairs go without: 44 bits tell far more pairs apart than the filter does
+ASKED_SLICE = 1 << 22  # bytes of text that ask the parts together: the longer, the more words they share
 
 _U = np.uint64
 END = np.uint64(0x5851F42D4C957F2D)
@@ -50,7 +52,8 @@ def _pairs(tokens: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Hash of every token with the one before it, and that one's own hash."""
     before = np.r_[START, tokens[:-1]]
     before[np.r_[True, text[1:] != text[:-1]]] = START
-    return arrays.mix(before * _U(3) + arrays.mix(tokens ^ _U(0x2545F4914F6CDD1D))), before
+    pairs = arrays.mix(before * _U(3) + arrays.mix(tokens ^ _U(0x2545F4914F6CDD1D)))
+    return pairs >> _U(SHORT) << _U(SHORT), before
 
 
 def _held_out(ids: pa.Array) -> np.ndarray:
@@ -95,6 +98,19 @@ def _spread(packed: bytes) -> np.ndarray:
     return np.frombuffer(raw, dtype=f"<u{width}").astype(np.int64)
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Rising keys as differences, byte by byte of equal weight, compressed."""
+    raw = np.diff(keys, prepend=_U(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(keys).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+
+
+def _unpack_keys(packed: bytes) -> np.ndarray:
+    """What ``_pack_keys`` was given."""
+    count = int.from_bytes(packed[:8], "little")
+    raw = pa.decompress(packed[8:], decompressed_size=8 * count, codec="zstd", asbytes=True) if count else b""
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
+
+
 class Filter:
     """The log-frequency Bloom filter, in one segment per part."""
 
@@ -214,36 +230,39 @@ def _heavy(model: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 _SCORED = "doc_id long, n_tokens long, n_known long, logs double, score double"
 _ASKED = "part int, kind int, slice long, a binary, b binary, c binary, d binary, e binary, f binary, g binary"
-# word counts; words to look up; what a slice knows itself; what it is told; n-grams to look up in the filter; their counts
+# word counts; words to look up; what a slice knows itself; what it is told; words and pairs to look up in the filter; what is found
 _TABLE, _ASK, _BASE, _SUMS, _PROBE, _FOUND = range(6)
 
 
-def _scores(value: np.ndarray, n: np.ndarray, back: np.ndarray, start: int, size: int) -> np.ndarray:
-    """Score of each text of a slice by the filter's counts ``value`` of its words, then of its pairs.
+def _scores(value: np.ndarray, n: np.ndarray, back: np.ndarray, start: int, which: np.ndarray, words: int, size: int) -> np.ndarray:
+    """Score of each text of a slice by the filter's counts ``value`` of its ``words`` words, then of its pairs.
 
-    ``n`` tokens a text, ``back`` the word of each token, ``start`` that of the start; pairs in the order of ``_numbered``.
+    ``n`` tokens a text, ``back`` the word of each token, ``start`` that of the start, ``which`` the pair of each token.
     """
-    words, which, _ = _numbered(n, back, start)
     about = value[: words]
     one = (about[back] + 1) / size
-    base = about[_prior(n, back, start)]
+    prior = np.r_[start, back[:-1]]
+    prior[np.cumsum(n) - n] = start
+    base = about[prior]
     share = np.divide(value[words:][which], base, out=np.zeros(len(base)), where=base > 0)
     log = np.log10(np.where(base > 0, MIX * np.minimum(share, 1.0) + (1 - MIX) * one, one))
     return np.bincount(np.repeat(np.arange(len(n)), n), weights=log, minlength=len(n))
 
 
-def _prior(n: np.ndarray, back: np.ndarray, start: int) -> np.ndarray:
-    """The word before each token."""
-    prior = np.r_[start, back[:-1]]
-    prior[np.cumsum(n) - n] = start
-    return prior
-
+def _cut(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple]:
+    """Slices of texts: name, ids, which are null, tokens, text numbers, tokens a text.
 
-def _numbered(n: np.ndarray, back: np.ndarray, start: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """How many words a slice has, its pair of each token by number, and the first token of each pair."""
-    words = int(max(back.max(), start)) + 1
-    _, first, which = np.unique(_prior(n, back, start) * words + back, return_index=True, return_inverse=True)
-    return words, which, first
+    A slice is named by its content, so that a task run again gives the same name.
+    """
+    for batch in batches:
+        for first, offsets, data in arrays.slices(batch.column(1), limit):
+            ids = batch.column(0).slice(first, len(offsets) - 1)
+            null = ids.is_null().to_numpy(zero_copy_only=False)
+            ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
+            tokens, text = _tokens(data, offsets)
+            n = np.bincount(text, minlength=len(ids))
+            name = int(np.bitwise_xor.reduce(arrays.mix(ids.view(np.uint64) + arrays.mix(np.cumsum(n).astype(np.uint64))))) ^ zlib.crc32(data) << 20
+            yield name, ids, null, tokens, text, n
 
 
 def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -256,12 +275,14 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
     each make up ``1 / HEAVY`` of all tokens, and the filter only while it has ``max_bits`` bits at most.
     Rarer words meet their exact counts in a shuffle by word, in which no word is hot. The filter grows
     with the insertions (``BITS_EACH`` bits each); a larger one stays on the executors by part, and each
-    slice of texts asks the parts for its distinct words and pairs in the same shuffle. Both ways probe
-    the same bits and give the same scores.
+    slice of texts asks the parts for the filter's counts of its distinct words and pairs, and the exact ones of
+    its words. What a slice knows itself is made from ``docs`` once more and meets the answers in a second
+    shuffle; so ``docs`` must give its rows in the same order again, as a stored table does (else the job fails).
+    Both ways probe the same bits and give the same scores.
 
     A null or empty text is its end token alone; a null ``doc_id`` counts as the empty text (it is a
     training text); repeated rows each count and each keep a row; other columns are ignored; empty in,
-    empty out. Words are told apart by 64-bit hashes.
+    empty out. Words are told apart by 64-bit hashes, pairs by 44 bits.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -275,54 +296,60 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
             segments[row[0]] = np.frombuffer(row[1], dtype=np.uint8)
     filter_ = spark.sparkContext.broadcast(Filter(segments))
     del segments
-    heavy = spark.sparkContext.broadcast(_heavy(model, max(1, -(-total // HEAVY))))
+    heavy = spark.sparkContext.broadcast(_heavy(model, max(1, -(-total // HEAVY))) if shared else None)
     floor = np.log10(total + distinct + 1)
     schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("slice", pa.int64()), *((c, pa.binary()) for c in "abcdefg")])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Score what needs no shuffle, and ask the parts for the counts of rarer words."""
         lm, (often, count) = filter_.value, heavy.value
-        for batch in batches:
-            for first, offsets, data in arrays.slices(batch.column(1)):
-                rows = len(offsets) - 1
-                ids = batch.column(0).slice(first, rows)
-                null = ids.is_null().to_numpy(zero_copy_only=False)
-                ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
-                tokens, text = _tokens(data, offsets)
-                word, back = np.unique(np.r_[tokens, START], return_inverse=True)
-                start, back = int(back[-1]), back[:-1]
-                n = np.bincount(text, minlength=rows)
-                grams = np.r_[word, _pairs(tokens, text)[0][_numbered(n, back, start)[2]]]
-                at = np.minimum(np.searchsorted(often, word), max(len(often) - 1, 0))
-                known = (often[at] == word) if len(often) else np.zeros(len(word), dtype=bool)
-                c = np.where(known, count[at], 0) if len(often) else np.zeros(len(word))
-                logs = np.bincount(text, weights=np.log10(c + 1)[back], minlength=rows) - n * floor
-                sure = np.bincount(text, weights=known[back], minlength=rows).astype(np.int64)
-                # named by its content, so that a task run again gives the same name
-                name = int(np.bitwise_xor.reduce(arrays.mix(ids.view(np.uint64) + arrays.mix(np.cumsum(n).astype(np.uint64))))) ^ zlib.crc32(data) << 20
-                own = {
-                    "part": name % parts, "kind": _BASE, "slice": name >> 1, "a": ids.tobytes(), "b": null.tobytes(), "c": n.astype(np.int64).tobytes(),
-                    "d": sure.tobytes(), "e": logs.tobytes(),
-                }
-                asked = [own]
-                if shared:
-                    own["f"] = _scores(lm.count(grams), n, back, start, total + distinct + 1).tobytes()
-                else:
-                    own["f"] = _squeeze(np.r_[start, back])
-                    own["g"] = _squeeze(_part(grams, parts))
-                    for part, places in _split(grams, parts):
-                        asked.append({"part": part, "kind": _PROBE, "slice": name >> 1, "a": grams[places].tobytes(), "e": np.int64(name % parts).tobytes()})
-                rare = ~known[back]
-                if rare.any():  # distinct (word, text) with how often
-                    pair, times = np.unique(back[rare] * rows + text[rare], return_counts=True)
-                    w, d = pair // rows, pair % rows
-                    for part, places in _split(word[w], parts):
-                        here, which = np.unique(word[w[places]], return_inverse=True)
-                        asked.append({
-                            "part": part, "kind": _ASK, "slice": name >> 1, "a": here.tobytes(), "b": _squeeze(which),
-                            "c": _squeeze(d[places]), "d": _squeeze(times[places]), "e": np.int64(name % parts).tobytes(),
-                        })
-                yield pa.RecordBatch.from_pylist(asked, schema=schema)
+        for name, ids, null, tokens, text, n in _cut(batches, arrays.SLICE):
+            rows = len(ids)
+            word, back = np.unique(np.r_[tokens, START], return_inverse=True)
+            start, back = int(back[-1]), back[:-1]
+            pair, which = np.unique(_pairs(tokens, text)[0], return_inverse=True)
+            at = np.minimum(np.searchsorted(often, word), max(len(often) - 1, 0))
+            known = (often[at] == word) if len(often) else np.zeros(len(word), dtype=bool)
+            c = np.where(known, count[at], 0) if len(often) else np.zeros(len(word))
+            logs = np.bincount(text, weights=np.log10(c + 1)[back], minlength=rows) - n * floor
+            sure = np.bincount(text, weights=known[back], minlength=rows).astype(np.int64)
+            score = _scores(lm.count(np.r_[word, pair]), n, back, start, which, len(word), total + distinct + 1)
+            asked = [{
+                "part": name % parts, "kind": _BASE, "slice": name >> 1, "a": ids.tobytes(), "b": null.tobytes(), "c": n.astype(np.int64).tobytes(),
+                "d": sure.tobytes(), "e": logs.tobytes(), "f": score.tobytes(),
+            }]
+            rare = ~known[back]
+            if rare.any():  # distinct (word, text) with how often
+                pair, times = np.unique(back[rare] * rows + text[rare], return_counts=True)
+                w, d = pair // rows, pair % rows
+                for part, places in _split(word[w], parts):
+                    here, which = np.unique(word[w[places]], return_inverse=True)
+                    asked.append({
+                        "part": part, "kind": _ASK, "slice": name >> 1, "a": here.tobytes(), "b": _squeeze(which),
+                        "c": _squeeze(d[places]), "d": _squeeze(times[places]), "e": np.int64(name % parts).tobytes(),
+                    })
+            yield pa.RecordBatch.from_pylist(asked, schema=schema)
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Ask the parts for the distinct words and pairs of each slice."""
+        for name, _, _, tokens, text, _ in _cut(batches, ASKED_SLICE):
+            word, pair = np.unique(np.r_[tokens, START]), np.unique(_pairs(tokens, text)[0])
+            words, pairs = dict(_split(word, parts)), dict(_split(pair, parts))
+            none = np.empty(0, dtype=np.int64)
+            for part in sorted({*words, *pairs}):
+                yield pa.RecordBatch.from_pylist([{
+                    "part": part, "kind": _PROBE, "slice": name >> 1, "a": _pack_keys(word[words.get(part, none)]),
+                    "b": _pack_keys(pair[pairs.get(part, none)] >> _U(SHORT)), "e": np.int64(name % parts).tobytes(),
+                }], schema=schema)
+
+    def base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What each slice needs beside the answers: its words, and the word of each token."""
+        for name, ids, null, tokens, _, n in _cut(batches, ASKED_SLICE):
+            word, back = np.unique(np.r_[tokens, START], return_inverse=True)
+            yield pa.RecordBatch.from_pylist([{
+                "part": name % parts, "kind": _BASE, "slice": name >> 1, "a": ids.tobytes(), "b": null.tobytes(), "c": n.astype(np.int64).tobytes(),
+                "f": _squeeze(back), "g": _pack_keys(word),
+            }], schema=schema)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Add up the logs of the rarer words of every text by the part's counts, one row per question."""
@@ -343,61 +370,75 @@ def lm_score(spark: SparkSession, docs: DataFrame, max_bits: int = MAX_BITS) ->
         keys, counts = _sum(*(np.concatenate([h[i] for h in held]) if held else np.empty(0, dtype=(np.uint64, np.int64)[i]) for i in (0, 1)))
         lm = Filter(segments)
         for row in waiting:
-            asked = np.frombuffer(row["a"], np.uint64)
-            if row["kind"] == _PROBE:
-                found = {"part": int(np.frombuffer(row["e"], np.int64)[0]), "kind": _FOUND, "slice": row["slice"], "a": lm.level(asked).astype(np.uint8).tobytes(), "e": np.int64(row["part"]).tobytes()}
-                yield pa.RecordBatch.from_pylist([found], schema=schema)
-                continue
-            which, owner, times = (_spread(row[x]) for x in "bcd")
+            asked = _unpack_keys(row["a"]) if row["kind"] == _PROBE else np.frombuffer(row["a"], np.uint64)
             c = np.zeros(len(asked), dtype=np.int64)
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
                 c = np.where(keys[at] == asked, counts[at], 0)
+            if row["kind"] == _PROBE:
+                level = lm.level(np.r_[asked, _unpack_keys(row["b"]) << _U(SHORT)])
+                found = {"part": int(np.frombuffer(row["e"], np.int64)[0]), "kind": _FOUND, "slice": row["slice"], "a": _squeeze(level), "b": _squeeze(c), "e": np.int64(row["part"]).tobytes()}
+                yield pa.RecordBatch.from_pylist([found], schema=schema)
+                continue
+            which, owner, times = (_spread(row[x]) for x in "bcd")
             texts, local = np.unique(owner, return_inverse=True)
             logs = np.bincount(local, weights=times * np.log10(c + 1)[which], minlength=len(texts))
             found = np.bincount(local, weights=times * (c > 0)[which], minlength=len(texts)).astype(np.int64)
             told = {"part": int(np.frombuffer(row["e"], np.int64)[0]), "kind": _SUMS, "slice": row["slice"], "a": _squeeze(texts), "b": logs.tobytes(), "c": _squeeze(found)}
             yield pa.RecordBatch.from_pylist([told], schema=schema)
 
+    def settled(row: dict, told: dict[int, dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores, logs and known tokens of the texts of a slice by what the parts told."""
+        n, word, back = np.frombuffer(row["c"], np.int64), _unpack_keys(row["g"]), _spread(row["f"])
+        start, back = int(back[-1]), back[:-1]
+        text = np.repeat(np.arange(len(n)), n)
+        pair, which = np.unique(_pairs(word[back], text)[0], return_inverse=True)
+        value, c = np.empty(len(word) + len(pair)), np.empty(len(word), dtype=np.int64)
+        words, pairs = dict(_split(word, parts)), dict(_split(pair, parts))
+        for part in {*words, *pairs}:
+            at = words.get(part, np.empty(0, dtype=np.int64))
+            c[at] = _spread(told[part]["b"])
+            value[np.r_[at, len(word) + pairs.get(part, at[:0])]] = VALUES[_spread(told[part]["a"])]
+        logs = np.bincount(text, weights=np.log10(c + 1)[back], minlength=len(n)) - n * floor
+        known = np.bincount(text, weights=(c > 0)[back], minlength=len(n)).astype(np.int64)
+        return _scores(value, n, back, start, which, len(word), total + distinct + 1), logs, known
+
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Put the sums of each slice together."""
         bases: dict[int, list[dict]] = {}
         sums: dict[int, list[dict]] = {}
-        found: dict[int, dict[int, bytes]] = {}
+        found: dict[int, dict[int, dict]] = {}
         for batch in batches:
             for row in batch.to_pylist():
                 if row["kind"] == _FOUND:
-                    found.setdefault(row["slice"], {})[int(np.frombuffer(row["e"], np.int64)[0])] = row["a"]
+                    found.setdefault(row["slice"], {})[int(np.frombuffer(row["e"], np.int64)[0])] = row
                 else:
                     (bases if row["kind"] == _BASE else sums).setdefault(row["slice"], []).append(row)
         for name, rows in bases.items():
-            ids = np.frombuffer(rows[0]["a"], np.int64)
-            logs, known = np.zeros(len(ids)), np.zeros(len(ids), dtype=np.int64)
-            for told in sums.pop(name, []):
-                at = _spread(told["a"])
-                logs[at] += np.frombuffer(told["b"], np.float64)
-                known[at] += _spread(told["c"])
             if shared:
                 score = np.frombuffer(rows[0]["f"], np.float64)
+                base_logs, sure = np.frombuffer(rows[0]["e"], np.float64), np.frombuffer(rows[0]["d"], np.int64)
+                logs, known = np.zeros(len(score)), np.zeros(len(score), dtype=np.int64)
+                for told in sums.pop(name, []):
+                    at = _spread(told["a"])
+                    logs[at] += np.frombuffer(told["b"], np.float64)
+                    known[at] += _spread(told["c"])
+                logs, known = base_logs + logs / len(rows), sure + known // len(rows)
             else:
-                told = found.pop(name)
-                where = np.argsort(_spread(rows[0]["g"]), kind="stable")
-                value = np.empty(len(where))
-                value[where] = VALUES[np.frombuffer(b"".join(told[part] for part in sorted(told)), np.uint8)]
-                back = _spread(rows[0]["f"])
-                score = _scores(value, np.frombuffer(rows[0]["c"], np.int64), back[1:], int(back[0]), total + distinct + 1)
+                score, logs, known = settled(rows[0], found.pop(name))
             for row in rows:  # slices of the same content share a name, and are told the same
                 yield pa.record_batch(
                     [pa.array(np.frombuffer(row["a"], np.int64), mask=np.frombuffer(row["b"], bool)), pa.array(np.frombuffer(row["c"], np.int64)),
-                     pa.array(np.frombuffer(row["d"], np.int64) + known // len(rows)), pa.array(np.frombuffer(row["e"], np.float64) + logs / len(rows)),
-                     pa.array(score)],
+                     pa.array(known), pa.array(logs), pa.array(score)],
                     names=["doc_id", "n_tokens", "n_known", "logs", "score"],
                 )
 
     empty = [F.lit(None).cast("binary").alias(c) for c in "defg"]
     segment = F.lit(None).cast("binary") if shared else F.col("segment")
     tables = model.select("part", F.lit(_TABLE).alias("kind"), F.lit(0).cast("long").alias("slice"), F.col("keys").alias("a"), F.col("counts").alias("b"), segment.alias("c"), *empty)
-    asked = docs.mapInArrow(ask, _ASKED).union(tables).repartitionById(parts, F.col("part")).mapInArrow(answer, _ASKED)
+    asked = docs.mapInArrow(ask if shared else probe, _ASKED).union(tables).repartitionById(parts, F.col("part")).mapInArrow(answer, _ASKED)
+    if not shared:
+        asked = asked.union(docs.mapInArrow(base, _ASKED))
     scored = asked.repartitionById(parts, F.col("part")).mapInArrow(settle, _SCORED)
     return scored.select(
         "doc_id",
